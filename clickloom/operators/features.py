@@ -4,8 +4,9 @@ A family lists measures (key set, what to count) and rates (quotients of measure
 join is planned, one pass over the source estimates the number of groups of every key set. From
 these sizes follow two decisions:
 
-* lookups proven small are broadcast, within a budget per lookup and in total; all others are
-  joined by shuffle, where adaptive execution splits hot keys;
+* lookups proven small come out of one scan with grouping sets and are broadcast, within a budget
+  per lookup and in total; all others are aggregated on their own and joined by shuffle, where
+  adaptive execution splits hot keys;
 * if the combination of all coarse keys has far fewer groups than the source has rows, the source
   is first reduced to that grain, and the lookups are rolled up from the reduced table.
 """
@@ -124,9 +125,14 @@ def _group_sizes(source: DataFrame, key_sets: Sequence[tuple[str, ...]]) -> tupl
     return row["n"], [row[f"g{i}"] for i in range(len(key_sets))]
 
 
-def _lookup(source: DataFrame, keys: tuple[str, ...], measures: Sequence[Measure], daily: bool, merged: bool):
+def _is_additive(measures: Sequence[Measure]) -> bool:
+    return not any(m.daily or m.kind == "distinct_items" for m in measures)
+
+
+def _aggregate(source: DataFrame, keys: tuple[str, ...], measures: Sequence[Measure], merged: bool) -> DataFrame:
+    """The lookup of one key set. ``merged`` sources carry partial results instead of log rows."""
     source = source.dropna(subset=list(keys))
-    if daily:
+    if measures[0].daily:
         kinds = dict.fromkeys(m.kind for m in measures)
         per_day = source.groupBy(*keys, "event_date").agg(*[_primitive(k).alias(_base_name(k)) for k in kinds])
         return per_day.groupBy(*keys).agg(*[F.avg(_base_name(m.kind)).alias(m.name) for m in measures])
@@ -140,6 +146,34 @@ def _lookup(source: DataFrame, keys: tuple[str, ...], measures: Sequence[Measure
     return source.groupBy(*keys).agg(*aggregates)
 
 
+def _partials(measures: Sequence[Measure], merged: bool):
+    for kind in dict.fromkeys(m.kind for m in measures):
+        name = _base_name(kind)
+        yield (F.sum(name) if merged else _primitive(kind)).alias(name)
+
+
+def _small_lookups(
+    source: DataFrame, groups: dict[tuple[str, ...], list[Measure]], merged: bool, label: str
+) -> dict[tuple[str, ...], DataFrame]:
+    """Lookups of several small key sets from one scan: grouping sets, stored once, then split."""
+    columns = list(dict.fromkeys(k for keys in groups for k in keys))
+    everything = [m for measures in groups.values() for m in measures]
+    table = stage(
+        source.groupingSets([list(keys) for keys in groups], *columns)
+        .agg(F.grouping_id().alias("_set"), *_partials(everything, merged)),
+        label,
+    )
+    out = {}
+    for keys, measures in groups.items():
+        # The grouping id has a bit for every column that is not part of the set.
+        code = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys)
+        out[keys] = (
+            table.filter(F.col("_set") == code).dropna(subset=list(keys))
+            .select(*keys, *[F.col(_base_name(m.kind)).alias(m.name) for m in measures])
+        )
+    return out
+
+
 def family_table(
     target: DataFrame,
     source: DataFrame,
@@ -157,24 +191,20 @@ def family_table(
     groups: dict[tuple, list[Measure]] = defaultdict(list)
     for m in family.measures:
         groups[(scope + m.keys, m.daily)].append(m)
-    key_sets = [ks for ks, _ in groups]
 
     used = list(dict.fromkeys([*scope, *family.keys, "event_date", "item_id", LABEL]))
     source = source.select(*[c for c in used if c in source.columns])
 
-    additive = {g: ms for g, ms in groups.items() if not g[1] and all(m.kind != "distinct_items" for m in ms)}
-    coarse = [g for g in additive if not policy.fine_keys & set(g[0])]
-    base_keys = tuple(dict.fromkeys(k for ks, _ in coarse for k in ks))
-    n_rows, sizes = _group_sizes(source, [*key_sets, base_keys or scope])
+    additive = {g for g, ms in groups.items() if _is_additive(ms)}
+    coarse = {g for g in additive if not policy.fine_keys & set(g[0])}
+    base_keys = tuple(dict.fromkeys(k for g in groups if g in coarse for k in g[0]))
+    n_rows, sizes = _group_sizes(source, [*[keys for keys, _ in groups], base_keys or scope])
     *sizes, base_size = sizes
 
     base = None
     if len(coarse) > 1 and base_size * policy.estimate_margin <= policy.rollup_ratio * n_rows:
-        kinds = dict.fromkeys(m.kind for g in coarse for m in groups[g])
-        base = stage(
-            source.groupBy(*base_keys).agg(*[_primitive(k).alias(_base_name(k)) for k in kinds]),
-            f"{family.name}-base",
-        )
+        measures = [m for g in coarse for m in groups[g]]
+        base = stage(source.groupBy(*base_keys).agg(*_partials(measures, False)), f"{family.name}-base")
 
     budget = policy.total_broadcast_rows
     small = set()
@@ -184,13 +214,21 @@ def family_table(
             small.add(g)
             budget -= rows
 
+    lookups = {}
+    for rolled in (True, False):
+        members = {g[0]: groups[g] for g in groups if g in small & additive and (base is not None and g in coarse) == rolled}
+        if members:
+            found = _small_lookups(base if rolled else source, members, rolled, f"{family.name}-lookups")
+            lookups.update({(keys, False): lookup for keys, lookup in found.items()})
+    for g, measures in groups.items():
+        if g not in lookups:
+            rolled = base is not None and g in coarse
+            lookups[g] = _aggregate(base if rolled else source, g[0], measures, rolled)
+
     out = target.select(*dict.fromkeys([*carry, *scope, *family.keys]))
     # Broadcast joins first: they need no shuffle, and the shuffles that follow stay next to each other.
     for g in sorted(groups, key=lambda g: g not in small):
-        keys, daily = g
-        merged = base is not None and g in coarse
-        lookup = _lookup(base if merged else source, keys, groups[g], daily, merged)
-        out = out.join(F.broadcast(lookup) if g in small else lookup, list(keys), "left")
+        out = out.join(F.broadcast(lookups[g]) if g in small else lookups[g], list(g[0]), "left")
     return out.select(*carry, *_finish(family, keep_counts))
 
 
