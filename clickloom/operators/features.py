@@ -120,7 +120,10 @@ def _base_name(kind: str) -> str:
 
 def _group_sizes(source: DataFrame, key_sets: Sequence[tuple[str, ...]]) -> tuple[int, list[int]]:
     """Rows of the source and estimated groups per key set: one pass, one result row."""
-    sketches = [F.approx_count_distinct(F.xxhash64(*ks)).alias(f"g{i}") for i, ks in enumerate(key_sets)]
+    sketches = [
+        F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(*ks), F.lit(12))).alias(f"g{i}")
+        for i, ks in enumerate(key_sets)
+    ]
     row = source.agg(F.count(F.lit(1)).alias("n"), *sketches).first()
     return row["n"], [row[f"g{i}"] for i in range(len(key_sets))]
 
@@ -167,10 +170,8 @@ def _small_lookups(
     for keys, measures in groups.items():
         # The grouping id has a bit for every column that is not part of the set.
         code = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys)
-        out[keys] = (
-            table.filter(F.col("_set") == code).dropna(subset=list(keys))
-            .select(*keys, *[F.col(_base_name(m.kind)).alias(m.name) for m in measures])
-        )
+        present = " AND ".join([f"_set = {code}", *[f"{k} IS NOT NULL" for k in keys]])
+        out[keys] = table.where(present).selectExpr(*keys, *[f"{_base_name(m.kind)} AS {m.name}" for m in measures])
     return out
 
 
