@@ -7,7 +7,7 @@ import itertools
 from pyspark.sql import functions as F
 
 from catalog.registry import RATES, SLICES, SLICES_END, family, prepared, query, sliced
-from clickloom.operators.prior import fit_beta_prior
+from clickloom.operators.prior import fit_beta_priors
 from clickloom.operators.scores import correlation_matrix, slice_sizes
 from clickloom.plans.slices import history_rows, label_rows
 from oracle.click_log import with_log, with_slices
@@ -68,12 +68,8 @@ def prior_sql(steps: int = STEPS) -> str:
 @query("a8_prior_fit", prior_sql())
 def a8_prior_fit(spark, sf):
     """Beta priors of users, items and shops over label rows, after a fixed number of steps."""
-    counts = family(spark, sf, RATES).cache()
-    fits = []
-    for entity, (tries, hits) in ENTITIES.items():
-        prior = fit_beta_prior(counts, tries, hits, max_iter=STEPS, tolerance=0.0)
-        fits.append((entity, prior.alpha, prior.beta))
-    counts.unpersist()
+    priors = fit_beta_priors(family(spark, sf, RATES), ENTITIES, max_iter=STEPS, tolerance=0.0)
+    fits = [(entity, p.alpha, p.beta) for entity, p in priors.items()]
     table = spark.createDataFrame(fits, "entity string, alpha double, beta double")
     return table.select("entity", F.round("alpha", 6).alias("alpha"), F.round("beta", 6).alias("beta"))
 
@@ -94,7 +90,7 @@ def correlation_sql() -> str:
     pairs = list(itertools.product(NUMERIC, NUMERIC))
     wide = ", ".join(f"corr({a}::DOUBLE, {b}::DOUBLE) AS c{i}" for i, (a, b) in enumerate(pairs))
     rows = " UNION ALL ".join(
-        f"SELECT '{a}' AS column_a, '{b}' AS column_b, round(c{i}, 6) AS corr FROM w" for i, (a, b) in enumerate(pairs)
+        f"SELECT '{a}' AS column_a, '{b}' AS column_b, CASE WHEN isnan(c{i}) THEN NULL ELSE round(c{i}, 6) END AS corr FROM w" for i, (a, b) in enumerate(pairs)
     )
     return with_log(rows, f"w AS MATERIALIZED (SELECT {wide} FROM click_log)")
 

@@ -8,7 +8,8 @@ the log is.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,60 +26,85 @@ class BetaPrior:
     converged: bool
 
 
-def count_histograms(counts: DataFrame, tries: str, hits: str) -> DataFrame:
-    """Histograms of hits, misses and tries in one table (kind, n, weight), zero counts left out."""
-    t, h = F.coalesce(F.col(tries), F.lit(0)), F.coalesce(F.col(hits), F.lit(0))
+def count_histograms(counts: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Histograms (name, kind, n, weight) of hits, misses and tries; zero counts are left out.
+
+    ``pairs`` maps the name of a prior to its (tries, hits) columns.
+    """
+    def value(column: str):
+        return F.coalesce(F.col(column), F.lit(0)).cast("double")
+
+    each = F.array(*[
+        F.struct(F.lit(name).alias("name"), value(t).alias("t"), value(h).alias("h")) for name, (t, h) in pairs.items()
+    ])
     # Rows are reduced to distinct (tries, hits) first, so that the three-way copy is small.
-    joint = counts.groupBy(t.alias("t"), h.alias("h")).agg(F.count(F.lit(1)).alias("w"))
+    joint = counts.select(F.explode(each).alias("p")).groupBy("p.name", "p.t", "p.h").agg(F.count(F.lit(1)).alias("w"))
     kinds = F.array(
-        F.struct(F.lit("hits").alias("kind"), F.col("h").cast("double").alias("n")),
-        F.struct(F.lit("misses").alias("kind"), (F.col("t") - F.col("h")).cast("double").alias("n")),
-        F.struct(F.lit("tries").alias("kind"), F.col("t").cast("double").alias("n")),
+        F.struct(F.lit("hits").alias("kind"), F.col("h").alias("n")),
+        F.struct(F.lit("misses").alias("kind"), (F.col("t") - F.col("h")).alias("n")),
+        F.struct(F.lit("tries").alias("kind"), F.col("t").alias("n")),
     )
     return (
-        joint.select(F.explode(kinds).alias("k"), "w").groupBy("k.kind", "k.n")
+        joint.select("name", F.explode(kinds).alias("k"), "w").groupBy("name", "k.kind", "k.n")
         .agg(F.sum("w").cast("double").alias("weight")).filter("n > 0")
     )
 
 
-def fit_beta_prior(
+def fit_beta_priors(
     counts: DataFrame,
-    tries: str,
-    hits: str,
+    pairs: Mapping[str, tuple[str, str]],
     start: tuple[float, float] = (1.0, 1.0),
     max_iter: int = 1000,
     tolerance: float = 1e-8,
-) -> BetaPrior:
-    """Fit (alpha, beta) over the rows of ``counts``: a row per label row weighs keys by their rows.
+) -> dict[str, BetaPrior]:
+    """Fit (alpha, beta) of every named pair of count columns over the rows of ``counts``.
 
-    For a weight per key instead, pass one row per key. As in the original stop rule, the values
-    *before* the step that moved less than ``tolerance`` are returned.
+    One row per label row weighs keys by their rows; for a weight per key, pass one row per key.
+    As in the original stop rule, the values *before* the step that moved less than ``tolerance`` are
+    returned. All priors advance in the same job, one job per step.
     """
     spark = counts.sparkSession
-    # A single small partition: no shuffle per iteration.
-    histograms = stage(count_histograms(counts, tries, hits), "prior").coalesce(1).cache()
+    histograms = stage(count_histograms(counts, pairs), "prior").coalesce(1).cache()
     gain = F.col("weight") * (digamma(F.col("n") + F.col("shift")) - digamma(F.col("shift")))
-    alpha, beta = (float(v) for v in start)
-    converged, done = False, 0
+    fits = {name: BetaPrior(float(start[0]), float(start[1]), 0, False) for name in pairs}
+    active = set(pairs)
     try:
-        for done in range(1, max_iter + 1):
-            # The current values come as a three-row table, not as literals: the plan, and so its
+        while active:
+            # The current values come as a small table, not as literals: the plan, and so its
             # compiled code, stays the same from step to step.
-            now = spark.createDataFrame(
-                [("hits", alpha), ("misses", beta), ("tries", alpha + beta)], "kind string, shift double"
+            rows = ", ".join(
+                f"('{name}', 'hits', {fits[name].alpha!r}D), ('{name}', 'misses', {fits[name].beta!r}D), "
+                f"('{name}', 'tries', {fits[name].alpha + fits[name].beta!r}D)"
+                for name in sorted(active)
+            )
+            now = spark.sql(f"SELECT * FROM VALUES {rows} AS now (name, kind, shift)")
+            step = (
+                histograms.join(F.broadcast(now), ["name", "kind"])
+                .groupBy("name", "kind").agg(F.sum(gain).alias("gain"))
             )
-            step = histograms.join(F.broadcast(now), "kind").groupBy("kind").agg(F.sum(gain).alias("gain"))
-            sums = {"hits": 0.0, "misses": 0.0, "tries": 0.0, **{r["kind"]: r["gain"] for r in step.collect()}}
-            if not sums["tries"]:
-                break  # no row was ever tried: nothing to learn from
-            new_alpha = alpha * (sums["hits"] / sums["tries"])
-            new_beta = beta * (sums["misses"] / sums["tries"])
-            if abs(new_alpha - alpha) < tolerance and abs(new_beta - beta) < tolerance:
-                converged = True
-                break
-            alpha, beta = new_alpha, new_beta
-            if alpha <= 0 or beta <= 0:
-                break  # all hits or all misses: the likelihood has no interior maximum
+            gains = {(r["name"], r["kind"]): r["gain"] for r in step.collect()}
+            for name in sorted(active):
+                fits[name], more = _advance(
+                    fits[name], *[gains.get((name, kind), 0.0) for kind in ("hits", "misses", "tries")], tolerance
+                )
+                if not more or fits[name].iterations >= max_iter:
+                    active.discard(name)
     finally:
         histograms.unpersist()
-    return BetaPrior(alpha, beta, done, converged)
+    return fits
+
+
+def _advance(fit: BetaPrior, hits: float, misses: float, tries: float, tolerance: float) -> tuple[BetaPrior, bool]:
+    """The prior after one step, and whether to go on."""
+    done = fit.iterations + 1
+    if not tries:
+        return replace(fit, iterations=done), False  # no row was ever tried: nothing to learn from
+    alpha, beta = fit.alpha * (hits / tries), fit.beta * (misses / tries)
+    if abs(alpha - fit.alpha) < tolerance and abs(beta - fit.beta) < tolerance:
+        return replace(fit, iterations=done, converged=True), False
+    # All hits or all misses: the likelihood has no interior maximum.
+    return BetaPrior(alpha, beta, done, False), alpha > 0 and beta > 0
+
+
+def fit_beta_prior(counts: DataFrame, tries: str, hits: str, **options) -> BetaPrior:
+    return fit_beta_priors(counts, {"prior": (tries, hits)}, **options)["prior"]

@@ -74,16 +74,46 @@ def area_under_roc(scored: DataFrame, label: str = "is_trade", score: str = SCOR
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair over the rows where both are present, one row per pair."""
-    pairs = list(itertools.combinations_with_replacement(columns, 2))
-    wide = df.agg(*[
-        F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)
-    ])
+    """Pearson correlation of every pair over the rows where both are present, one row per pair.
+
+    Two passes of plain sums: first means, then products of centred values. Pairs of columns
+    without NULLs share their squares, so they cost one sum each. NULL where a column is constant.
+    """
+    columns = list(columns)
+    stats = df.select(columns).agg(F.count(F.lit(1)).alias("n"), *[
+        F.expr(e).alias(f"{k}_{c}") for c in columns for k, e in (
+            ("n", f"count({c})"), ("mean", f"avg(cast({c} AS double))"), ("varies", f"min({c}) < max({c})"))
+    ]).first()
+    varying = [c for c in columns if stats[f"varies_{c}"]]
+    centred = df.selectExpr(*[f"cast({c} AS double) - {stats[f'mean_{c}']!r}D AS {c}" for c in varying] or ["0 AS none"])
+
+    sums: dict[str, str] = {}
+
+    def total(name: str, value: str) -> str:
+        sums[name] = f"sum({value}) AS {name}"
+        return name
+
+    def correlation(x: str, y: str) -> str:
+        if not (x in varying and y in varying):
+            return "cast(NULL AS double)"
+        if stats[f"n_{x}"] == stats["n"] == stats[f"n_{y}"]:
+            xx, yy, xy = total(f"sq_{x}", f"{x} * {x}"), total(f"sq_{y}", f"{y} * {y}"), total(f"{x}__{y}", f"{x} * {y}")
+            return f"try_divide({xy}, sqrt({xx} * {yy}))"
+        # The means of the shared rows differ from the overall ones, so the sums are needed too.
+        tag, both = f"{x}__{y}", f"{x} IS NOT NULL AND {y} IS NOT NULL"
+        n, sx, sy, xx, yy, xy = (
+            total(f"{k}_{tag}", f"CASE WHEN {both} THEN {e} END") for k, e in (
+                ("n", "1"), ("x", x), ("y", y), ("xx", f"{x} * {x}"), ("yy", f"{y} * {y}"), ("xy", f"{x} * {y}")))
+        spread = f"({xx} - try_divide({sx} * {sx}, {n})) * ({yy} - try_divide({sy} * {sy}, {n}))"
+        return f"try_divide({xy} - try_divide({sx} * {sy}, {n}), sqrt({spread}))"
+
     cells = []
-    for i, (a, b) in enumerate(pairs):
-        for x, y in {(a, b), (b, a)}:
-            cells.append(F.struct(F.lit(x).alias("column_a"), F.lit(y).alias("column_b"), F.col(f"c{i}").alias("corr")))
-    return wide.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+    for x, y in itertools.combinations_with_replacement(columns, 2):
+        corr = correlation(x, y)
+        for a, b in {(x, y), (y, x)}:
+            cells.append(f"named_struct('column_a', '{a}', 'column_b', '{b}', 'corr', {corr})")
+    wide = centred.agg(*[F.expr(e) for e in sums.values()]) if sums else df.sparkSession.range(1)
+    return wide.selectExpr(f"inline(array({', '.join(cells)}))")
 
 
 def slice_sizes(df: DataFrame, by: Sequence[str] = ("slice",)) -> DataFrame:

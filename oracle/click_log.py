@@ -27,7 +27,7 @@ raw_log AS (
   JOIN part p ON p.p_partkey = CAST(json_extract_string(e.props, '$.k') AS INT)
 ),
 click_log AS (
-  SELECT r.*,
+  SELECT r.* EXCLUDE (m),
     strftime(m, '%Y-%m-%d %H:%M:%S') AS "time",
     CAST(m AS DATE) AS event_date,
     CAST(day(m) AS INT) AS day, CAST(hour(m) AS INT) AS hour, CAST(minute(m) AS INT) AS minute,
