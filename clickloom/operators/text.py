@@ -11,9 +11,11 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.sources.stage import spread, stage
+
 # Runs of word characters in any script, two at least.
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
@@ -30,15 +32,22 @@ def document_frequencies(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def tfidf_table(docs: DataFrame, text: str, ids: Sequence[str]) -> DataFrame:
-    """(ids, term, tf, df, weight) with rows of unit length; documents are not collected anywhere."""
+def tfidf_table(docs: DataFrame, text: str, ids: Sequence[str], broadcast_terms: int = 200_000) -> DataFrame:
+    """(ids, term, tf, df, weight) with rows of unit length; documents are not collected anywhere.
+
+    The texts are split once; frequencies and weights are derived from the stored counts. The
+    window that sums up a document holds one row per distinct term, so never more than the vocabulary.
+    """
     ids = list(ids)
-    counts = term_counts(docs, text, ids)
-    n_docs = docs.agg(F.count(F.lit(1)).cast("double")).scalar()
-    idf = F.log((n_docs + 1) / (F.col("df") + 1)) + 1
-    raw = counts.join(document_frequencies(counts), "term").withColumn("raw", F.col("tf") * idf)
-    norms = raw.groupBy(*ids).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return raw.join(norms, ids).select(*ids, "term", "tf", "df", (F.col("raw") / F.col("norm")).alias("weight"))
+    counts = stage(term_counts(spread(docs.select(*ids, text)), text, ids), "terms")
+    frequencies = stage(document_frequencies(counts), "frequencies")
+    if frequencies.count() <= broadcast_terms:
+        frequencies = F.broadcast(frequencies)
+    n_docs = docs.count()
+    idf = F.log(F.lit(n_docs + 1.0) / (F.col("df") + 1)) + 1
+    raw = counts.join(frequencies, "term").withColumn("raw", F.col("tf") * idf)
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(*ids)))
+    return raw.select(*ids, "term", "tf", "df", (F.col("raw") / norm).alias("weight"))
 
 
 def vocabulary_size(docs: DataFrame, text: str) -> int:

@@ -35,3 +35,12 @@ def stage(df: DataFrame, label: str = "stage", partition_by: tuple[str, ...] = (
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Share rows out evenly where a few input splits would leave cores idle during heavy row work.
+
+    Large inputs have more splits than the cluster has cores and pass unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
