@@ -18,7 +18,8 @@ for _prefix, _label in NAMES.items():
     @query(f"w1_w4_positions_{_label}", positions_sql((_prefix,), "event_date", whole_log=True))
     def _positions(spark, sf, prefix=_prefix):
         """Every day of the log is its own scope, as the original frames hold one day."""
-        log = prepared(spark, sf)
+        columns = [*CARRY, *POSITION_KEYS[prefix], "context_timestamp"]
+        log = stage(prepared(spark, sf).select(*columns), "log")
         return position_table(log, CARRY, DAY, {prefix: POSITION_KEYS[prefix]})
 
 

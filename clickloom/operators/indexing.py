@@ -70,7 +70,7 @@ def fit_dictionary(df: DataFrame, columns: Sequence[str]) -> Dictionary:
         df.select(F.explode(F.array(*[entry(c) for c in columns])).alias("e")).select("e.*")
         .dropna(subset=["value"]).distinct()
     )
-    indexed = stage(global_index(values, ["column", "number", "value"], "position"), "dictionary")
+    indexed = global_index(values, ["column", "number", "value"], "position")
     # One row per encoded column.
     spans = indexed.groupBy("column").agg(F.min("position").alias("start"), F.count(F.lit(1)).alias("size"))
     sizes = {r["column"]: r["size"] for r in spans.collect()}
@@ -101,7 +101,7 @@ def shuffled(df: DataFrame, id_col: str = "instance_id", seed: str = "", name: s
 
 def equal_folds(df: DataFrame, n: int = 10, id_col: str = "instance_id", seed: str = "", name: str = "fold"):
     """``n`` random folds of equal size, the remainder going to the last one."""
-    numbered = stage(shuffled(df, id_col, seed, "_row"), "folds")
+    numbered = shuffled(df, id_col, seed, "_row")
     step = max(numbered.count() // n, 1)
     fold = F.least(F.floor(F.col("_row") / F.lit(step)), F.lit(n - 1)).cast("int")
     return numbered.withColumn(name, fold).drop("_row")

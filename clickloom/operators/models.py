@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.operators.indexing import Dictionary, encode, fit_dictionary
-from clickloom.operators.text import fit_tfidf
-from clickloom.sources.stage import shared_folder, stage
+from clickloom.operators.text import fit_tfidf, tokens_of
+from clickloom.sources.stage import shared_folder, spread, stage
 
 LABEL, ID, SCORE = "is_trade", "instance_id", "predicted_score"
 
@@ -113,13 +113,13 @@ def text_score(
 
     The vocabulary and idf come from both tables, labels only from the history.
     """
-    clean = F.coalesce(F.col(text), F.lit("")).alias("_text")
-    past = history.select(clean, F.col(label).cast("double").alias("label"))
-    now = label_rows.select(*keep, clean)
-    vectors = fit_tfidf(past.select("_text").unionAll(now.select("_text")), "_text", "features", max_vocabulary)
+    tokens = tokens_of(text).alias("_tokens")
+    # Texts are split once; the passes of the vectoriser and of the trees read the stored tokens.
+    past = stage(spread(history.select(text, F.col(label).cast("double").alias("label"))).select(tokens, "label"), "text")
+    now = stage(spread(label_rows.select(*keep, text)).select(*keep, tokens), "text")
+    vectors = fit_tfidf(past.select("_tokens").unionAll(now.select("_tokens")), "_tokens", "features", max_vocabulary)
     shared_folder(history.sparkSession)
-    inputs = stage(vectors.transform(past).select("features", "label"), "text")
-    trees = boosting.classifier().fit(inputs)
+    trees = boosting.classifier().fit(vectors.transform(past).select("features", "label"))
     return trees.transform(vectors.transform(now)).select(*keep, positive().alias(name))
 
 

@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.sources.stage import stage
+
 ORDER = ("context_timestamp", "instance_id")
 CHUNK_SECONDS = 86_400
 
@@ -80,22 +82,23 @@ def position_table(
 
 
 def running_count(
-    rows: DataFrame, keys: Sequence[str], time: str, name: str, direction: str = "before"
+    rows: DataFrame, keys: Sequence[str], time: str, name: str, direction: str = "before", single_day: bool = False
 ) -> DataFrame:
     """Per (keys, time): rows of the key with a time up to this one (``before``) or from it (``after``).
 
     Counts are first reduced to one row per key and second. They are summed within chunks of a
     day, and the chunk totals across chunks, so that no window holds more rows than a day has
-    seconds, however hot the key.
+    seconds, however hot the key. ``single_day`` says that no key spans more than a day: one chunk.
     """
-    backwards = direction == "after"
-    step = (lambda c: F.col(c).desc()) if backwards else (lambda c: F.col(c).asc())
     keys = list(keys)
-    per_second = (
-        rows.dropna(subset=keys)
-        .groupBy(*keys, time).agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_chunk", F.floor(F.col(time) / CHUNK_SECONDS))
-    )
+    step = (lambda c: F.col(c).desc()) if direction == "after" else (lambda c: F.col(c).asc())
+    per_second = rows.dropna(subset=keys).groupBy(*keys, time).agg(F.count(F.lit(1)).alias("_n"))
+    if single_day:
+        running = F.sum("_n").over(Window.partitionBy(*keys).orderBy(step(time)))
+        return per_second.select(*keys, time, running.alias(name))
+
+    # Read twice below, so stored.
+    per_second = stage(per_second.withColumn("_chunk", F.floor(F.col(time) / CHUNK_SECONDS)), "seconds")
     inside = F.sum("_n").over(Window.partitionBy(*keys, "_chunk").orderBy(step(time)))
     earlier = F.sum("_total").over(
         Window.partitionBy(*keys).orderBy(step("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
@@ -120,10 +123,14 @@ def reclick_table(
     name: str = "leak_user_final_cat_reclick",
     direction: str = "before",
 ) -> DataFrame:
-    """Other rows of the same key at or before (``after``: at or after) the time of each row."""
+    """Other rows of the same key at or before (``after``: at or after) the time of each row.
+
+    A scope column (a label slice, a date) is taken to confine rows to one day; without one, the
+    whole log counts.
+    """
     on = [*scope, *keys]
     out = rows.select(*dict.fromkeys([*carry, *on, time]))
-    counts = running_count(out, on, time, "_count", direction)
+    counts = running_count(out, on, time, "_count", direction, single_day=bool(scope))
     return out.join(counts, [*on, time], "left").select(*carry, (F.col("_count") - 1).alias(name))
 
 
@@ -156,16 +163,16 @@ def repeat_clicks(
 ) -> DataFrame:
     """Rows clicked repeatedly within an hour, without the latest such row of each user, item and shop.
 
-    The group sizes and the latest marks come from one aggregate, so the rows are joined once.
+    Group sizes and latest marks come from one aggregate, so the rows are joined once.
     """
     group, fine = list(group), [*group, *within]
-    repeated = (
+    # The window runs over groups, not rows: at most one per hour of the log and key.
+    latest = F.max("_end").over(Window.partitionBy(*group))
+    marked = (
         rows.dropna(subset=fine).groupBy(*fine)
         .agg(F.count(F.lit(1)).alias("_n"), F.max(F.struct(*order)).alias("_end"))
-        .filter("_n > 1")
+        .filter("_n > 1").select(*fine, latest.alias("_last"))
     )
-    latest = repeated.groupBy(*group).agg(F.max("_end").alias("_last"))
-    marked = repeated.join(latest, group).select(*fine, "_last")
     return rows.join(marked, fine).filter(F.struct(*order) < F.col("_last")).drop("_last")
 
 

@@ -125,7 +125,7 @@ def top_n(df: DataFrame, n: int, score: str, *tie_breakers: str) -> DataFrame:
     return df.orderBy(F.col(score).desc(), *tie_breakers).limit(n)
 
 
-def top_ranks(df: DataFrame, n: int, score: str, name: str = "rank") -> DataFrame:
+def top_ranks(df: DataFrame, n: int, score: str, name: str = "rank", broadcast_rows: int = 200_000) -> DataFrame:
     """All rows whose competition rank by descending score is at most ``n``; ties share a rank.
 
     The n-th best score bounds the result, so only rows at or above it are ranked: a top-n per
@@ -141,4 +141,6 @@ def top_ranks(df: DataFrame, n: int, score: str, name: str = "rank") -> DataFram
     ranks = ranks.select(
         F.col(score).alias("_score"), (F.coalesce(F.sum("_n").over(better), F.lit(0)) + 1).alias(name)
     )
-    return kept.join(F.broadcast(ranks), F.col(score) == F.col("_score")).drop("_score")
+    if n <= broadcast_rows:
+        ranks = F.broadcast(ranks)
+    return kept.join(ranks, F.col(score) == F.col("_score")).drop("_score")

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, HashingTF, Normalizer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.sources.stage import spread, stage
@@ -20,10 +20,14 @@ from clickloom.sources.stage import spread, stage
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 
+def tokens_of(text: str) -> Column:
+    """Array of the lower-case tokens of a text; empty for NULL."""
+    return F.coalesce(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0)), F.array().cast("array<string>"))
+
+
 def term_counts(docs: DataFrame, text: str, ids: Sequence[str]) -> DataFrame:
     """(ids, term, tf). Terms are counted where the text lies before anything is shuffled."""
-    tokens = F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
-    return docs.select(*ids, F.explode(tokens).alias("term")).groupBy(*ids, "term").agg(
+    return docs.select(*ids, F.explode(tokens_of(text)).alias("term")).groupBy(*ids, "term").agg(
         F.count(F.lit(1)).alias("tf")
     )
 
@@ -50,30 +54,24 @@ def tfidf_table(docs: DataFrame, text: str, ids: Sequence[str], broadcast_terms:
     return raw.select(*ids, "term", "tf", "df", (F.col("raw") / norm).alias("weight"))
 
 
-def vocabulary_size(docs: DataFrame, text: str) -> int:
-    tokens = F.explode(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0)))
-    return docs.select(tokens.alias("term")).distinct().count()
-
+def fit_tfidf(
+    docs: DataFrame, tokens: str, output: str = "text_vector", max_vocabulary: int = 1 << 14
+) -> PipelineModel:
+    """Vectors of token arrays. Exact vocabulary if its counted size is within the bound, else hashed.
 
-def fit_tfidf(docs: DataFrame, text: str, output: str = "text_vector", max_vocabulary: int = 1 << 14) -> PipelineModel:
-    """Vectors for a model. Exact vocabulary if its counted size is within the bound, else hashed.
-
-    The IDF stage lacks the ``+ 1`` of the smooth idf; since ``tf * (idf + 1)`` is an elementwise
-    product with a fixed vector, the fitted weights are folded into one ``ElementwiseProduct``.
+    The vocabulary is the one thing that passes through the driver, hence the bound. The IDF stage
+    lacks the ``+ 1`` of the smooth idf; since ``tf * (idf + 1)`` is an elementwise product with a
+    fixed vector, the fitted weights are folded into one ``ElementwiseProduct``.
     """
-    tokenizer = RegexTokenizer(
-        inputCol=text, outputCol="_tokens", pattern=TOKEN, gaps=False, toLowercase=True, minTokenLength=2
-    )
-    size = vocabulary_size(docs, text)
+    size = docs.select(F.explode(tokens)).distinct().count()
     if size <= max_vocabulary:
-        tf = CountVectorizer(inputCol="_tokens", outputCol="_tf", vocabSize=max(size, 1), minDF=1.0)
+        tf = CountVectorizer(inputCol=tokens, outputCol="_tf", vocabSize=max(size, 1), minDF=1.0).fit(docs)
     else:
-        tf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=max_vocabulary)
-    counting = Pipeline(stages=[tokenizer, tf]).fit(docs)
-    idf = IDF(inputCol="_tf", outputCol="_idf").fit(counting.transform(docs)).idf
+        tf = HashingTF(inputCol=tokens, outputCol="_tf", numFeatures=max_vocabulary)
+    idf = IDF(inputCol="_tf", outputCol="_idf").fit(tf.transform(docs)).idf
     weights = Vectors.dense(idf.toArray() + 1.0)
     return PipelineModel(stages=[
-        *counting.stages,
+        tf,
         ElementwiseProduct(scalingVec=weights, inputCol="_tf", outputCol="_weighted"),
         Normalizer(inputCol="_weighted", outputCol=output, p=2.0),
     ])

@@ -14,7 +14,7 @@ from clickloom.operators.models import (
 )
 from clickloom.operators.prior import count_histograms, fit_beta_prior, fit_beta_priors
 from clickloom.operators.scores import log_loss
-from clickloom.operators.text import fit_tfidf, tfidf_table
+from clickloom.operators.text import fit_tfidf, tfidf_table, tokens_of
 from clickloom.plans.search import Tuner, param_grid, sample_trials, trial_budget
 from clickloom.plans.stacking import cross_fed_stack, leaf_logistic, out_of_fold
 
@@ -120,7 +120,8 @@ def test_tfidf_table_and_vectors_agree_with_the_definition(spark):
         got = {(r["id"], r["term"]): r["weight"] for r in tfidf_table(docs, "text", ["id"], bound).collect()}
         assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-12) for k in want)
     for size in (1000, 2):  # exact vocabulary, then hashed
-        rows = fit_tfidf(docs, "text", "v", max_vocabulary=size).transform(docs).collect()
+        split = docs.select("id", tokens_of("text").alias("tokens"))
+        rows = fit_tfidf(split, "tokens", "v", max_vocabulary=size).transform(split).orderBy("id").collect()
         lengths = [np.linalg.norm(r["v"].toArray()) for r in rows]
         assert np.allclose(lengths, [1, 1, 1, 0, 0])
         if size > 2:
