@@ -1,8 +1,8 @@
 """Spec-driven aggregate features: one aggregate and one left join per key set.
 
 A family lists measures (key set, what to count) and rates (quotients of measures). Before any
-join is planned, one pass over the source estimates the number of groups of every key set. From
-these sizes follow two decisions:
+join is planned, one pass over the source estimates the number of groups of every key set and the
+length of its texts. From these sizes follow two decisions:
 
 * lookups proven small come out of one scan with grouping sets and are broadcast, within a budget
   per lookup and in total; all others are aggregated on their own and joined by shuffle, where
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import ratio, smoothed_rate
+from clickloom.operators.sizing import BROADCAST_BYTES, row_bytes
 from clickloom.sources.stage import stage
 
 LABEL = "is_trade"
@@ -95,10 +96,10 @@ class Family:
 
 @dataclass(frozen=True)
 class JoinPolicy:
-    """Size bounds, in rows, for the choice of plan."""
+    """Size bounds for the choice of plan."""
 
-    broadcast_rows: int = 200_000
-    total_broadcast_rows: int = 1_000_000
+    broadcast_bytes: int = BROADCAST_BYTES  # per lookup
+    total_broadcast_bytes: int = 8 * BROADCAST_BYTES  # all lookups of a family together
     estimate_margin: float = 1.25  # over the error of the distinct-count sketch
     rollup_ratio: float = 0.2  # reduce the source first if that leaves at most this share of rows
     fine_keys: frozenset[str] = field(default=frozenset({"user_id", "context_id", "minute"}))
@@ -118,14 +119,25 @@ def _base_name(kind: str) -> str:
     return f"base_{kind}"
 
 
-def _group_sizes(source: DataFrame, key_sets: Sequence[tuple[str, ...]]) -> tuple[int, list[int]]:
-    """Rows of the source and estimated groups per key set: one pass, one result row."""
+@dataclass(frozen=True)
+class SourceSizes:
+    rows: int
+    groups: list[int]  # estimated, in the order of the key sets asked for
+    text_bytes: dict[str, int]  # longest value of every text column
+
+
+def _source_sizes(source: DataFrame, key_sets: Sequence[tuple[str, ...]]) -> SourceSizes:
+    """Rows, groups per key set and the longest texts: one pass, one result row."""
     sketches = [
         F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(*ks), F.lit(12))).alias(f"g{i}")
         for i, ks in enumerate(key_sets)
     ]
-    row = source.agg(F.count(F.lit(1)).alias("n"), *sketches).first()
-    return row["n"], [row[f"g{i}"] for i in range(len(key_sets))]
+    texts = [c for c, kind in source.dtypes if kind == "string"]
+    longest = [F.max(F.octet_length(c)).alias(f"len_{c}") for c in texts]
+    row = source.agg(F.count(F.lit(1)).alias("n"), *sketches, *longest).first()
+    return SourceSizes(
+        row["n"], [row[f"g{i}"] for i in range(len(key_sets))], {c: row[f"len_{c}"] or 0 for c in texts}
+    )
 
 
 def _is_additive(measures: Sequence[Measure]) -> bool:
@@ -199,28 +211,32 @@ def family_table(
     additive = {g for g, ms in groups.items() if _is_additive(ms)}
     coarse = {g for g in additive if not policy.fine_keys & set(g[0])}
     base_keys = tuple(dict.fromkeys(k for g in groups if g in coarse for k in g[0]))
-    n_rows, sizes = _group_sizes(source, [*[keys for keys, _ in groups], base_keys or scope])
-    *sizes, base_size = sizes
+    found = _source_sizes(source, [*[keys for keys, _ in groups], base_keys or scope])
+    *sizes, base_size = found.groups
 
     base = None
-    if len(coarse) > 1 and base_size * policy.estimate_margin <= policy.rollup_ratio * n_rows:
+    if len(coarse) > 1 and base_size * policy.estimate_margin <= policy.rollup_ratio * found.rows:
         measures = [m for g in coarse for m in groups[g]]
         base = stage(source.groupBy(*base_keys).agg(*_partials(measures, False)), f"{family.name}-base")
 
-    budget = policy.total_broadcast_rows
+    budget = policy.total_broadcast_bytes
     small = set()
     for size, g in sorted(zip(sizes, groups), key=lambda pair: pair[0]):
-        rows = int(size * policy.estimate_margin) + 1
-        if rows <= policy.broadcast_rows and rows <= budget:
+        width = row_bytes(len(g[0]) + len(groups[g]), sum(found.text_bytes.get(k, 0) for k in g[0]))
+        total = int(size * policy.estimate_margin + 1) * width
+        if total <= policy.broadcast_bytes and total <= budget:
             small.add(g)
-            budget -= rows
+            budget -= total
 
     lookups = {}
     for rolled in (True, False):
-        members = {g[0]: groups[g] for g in groups if g in small & additive and (base is not None and g in coarse) == rolled}
+        members = {
+            g[0]: groups[g] for g in groups
+            if g in small and g in additive and (base is not None and g in coarse) == rolled
+        }
         if members:
-            found = _small_lookups(base if rolled else source, members, rolled, f"{family.name}-lookups")
-            lookups.update({(keys, False): lookup for keys, lookup in found.items()})
+            split = _small_lookups(base if rolled else source, members, rolled, f"{family.name}-lookups")
+            lookups.update({(keys, False): lookup for keys, lookup in split.items()})
     for g, measures in groups.items():
         if g not in lookups:
             rolled = base is not None and g in coarse

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.functions import hash_unit
+from clickloom.operators.sizing import BROADCAST_BYTES, fits
 from clickloom.sources.stage import stage
 
 
@@ -41,10 +42,11 @@ def global_index(df: DataFrame, order: Sequence[Column | str], name: str = "row_
 
 @dataclass(frozen=True)
 class Dictionary:
-    """Ordinal codes of several columns: rows (column, value, code), with each column's size."""
+    """Ordinal codes of several columns: rows (column, value, code), with each column's size and longest value."""
 
     codes: DataFrame
     sizes: dict[str, int]
+    widths: dict[str, int]
 
     def of(self, column: str, code_name: str) -> DataFrame:
         return self.codes.filter(F.col("column") == column).select(
@@ -72,21 +74,29 @@ def fit_dictionary(df: DataFrame, columns: Sequence[str]) -> Dictionary:
     )
     indexed = global_index(values, ["column", "number", "value"], "position")
     # One row per encoded column.
-    spans = indexed.groupBy("column").agg(F.min("position").alias("start"), F.count(F.lit(1)).alias("size"))
-    sizes = {r["column"]: r["size"] for r in spans.collect()}
+    spans = indexed.groupBy("column").agg(
+        F.min("position").alias("start"), F.count(F.lit(1)).alias("size"), F.max(F.octet_length("value")).alias("width")
+    )
+    found = {r["column"]: r for r in spans.collect()}
+    spans = spans.select("column", "start")
     codes = indexed.join(F.broadcast(spans), "column").select(
         "column", "value", (F.col("position") - F.col("start")).alias("code")
     )
-    return Dictionary(codes, {c: sizes.get(c, 0) for c in columns})
+    # A column of NULLs only has no entry.
+    return Dictionary(
+        codes,
+        {c: found[c]["size"] if c in found else 0 for c in columns},
+        {c: found[c]["width"] if c in found else 0 for c in columns},
+    )
 
 
 def encode(
-    df: DataFrame, dictionary: Dictionary, columns: dict[str, str], broadcast_rows: int = 200_000
+    df: DataFrame, dictionary: Dictionary, columns: dict[str, str], broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Add the code of ``column`` as ``columns[column]``; small dictionaries (by count) are broadcast."""
+    """Add the code of ``column`` as ``columns[column]``; dictionaries of small counted size are broadcast."""
     for column, target in sorted(columns.items(), key=lambda c: dictionary.sizes[c[0]]):
         lookup = dictionary.of(column, f"_code_{column}")
-        if dictionary.sizes[column] <= broadcast_rows:
+        if fits(dictionary.sizes[column], 2, dictionary.widths[column], broadcast_bytes):
             lookup = F.broadcast(lookup)
         df = df.join(lookup, F.col(column).cast("string") == F.col(f"_v_{column}"), "left")
         df = df.withColumn(target, F.col(f"_code_{column}")).drop(f"_code_{column}", f"_v_{column}")

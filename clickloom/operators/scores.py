@@ -10,6 +10,8 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.operators.sizing import fits
+
 ID, SCORE = "instance_id", "predicted_score"
 CLIP = 1e-15
 
@@ -125,7 +127,7 @@ def top_n(df: DataFrame, n: int, score: str, *tie_breakers: str) -> DataFrame:
     return df.orderBy(F.col(score).desc(), *tie_breakers).limit(n)
 
 
-def top_ranks(df: DataFrame, n: int, score: str, name: str = "rank", broadcast_rows: int = 200_000) -> DataFrame:
+def top_ranks(df: DataFrame, n: int, score: str, name: str = "rank") -> DataFrame:
     """All rows whose competition rank by descending score is at most ``n``; ties share a rank.
 
     The n-th best score bounds the result, so only rows at or above it are ranked: a top-n per
@@ -141,6 +143,6 @@ def top_ranks(df: DataFrame, n: int, score: str, name: str = "rank", broadcast_r
     ranks = ranks.select(
         F.col(score).alias("_score"), (F.coalesce(F.sum("_n").over(better), F.lit(0)) + 1).alias(name)
     )
-    if n <= broadcast_rows:
+    if fits(n, 2):
         ranks = F.broadcast(ranks)
     return kept.join(ranks, F.col(score) == F.col("_score")).drop("_score")

@@ -14,6 +14,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.operators.sizing import BROADCAST_BYTES, broadcast_if_small
 from clickloom.sources.stage import spread, stage
 
 # Runs of word characters in any script, two at least.
@@ -36,7 +37,7 @@ def document_frequencies(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def tfidf_table(docs: DataFrame, text: str, ids: Sequence[str], broadcast_terms: int = 200_000) -> DataFrame:
+def tfidf_table(docs: DataFrame, text: str, ids: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(ids, term, tf, df, weight) with rows of unit length; documents are not collected anywhere.
 
     The texts are split once; frequencies and weights are derived from the stored counts. The
@@ -44,9 +45,7 @@ def tfidf_table(docs: DataFrame, text: str, ids: Sequence[str], broadcast_terms:
     """
     ids = list(ids)
     counts = stage(term_counts(spread(docs.select(*ids, text)), text, ids), "terms")
-    frequencies = stage(document_frequencies(counts), "frequencies")
-    if frequencies.count() <= broadcast_terms:
-        frequencies = F.broadcast(frequencies)
+    frequencies = broadcast_if_small(stage(document_frequencies(counts), "frequencies"), broadcast_bytes)
     n_docs = docs.count()
     idf = F.log(F.lit(n_docs + 1.0) / (F.col("df") + 1)) + 1
     raw = counts.join(frequencies, "term").withColumn("raw", F.col("tf") * idf)

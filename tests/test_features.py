@@ -13,10 +13,10 @@ DAY = dt.date(2024, 1, 5)
 # One policy per way to compute a lookup; all must agree.
 POLICIES = {
     "broadcast": JoinPolicy(rollup_ratio=0.0),
-    "shuffle": JoinPolicy(broadcast_rows=0, rollup_ratio=0.0),
+    "shuffle": JoinPolicy(broadcast_bytes=0, rollup_ratio=0.0),
     "rolled up, broadcast": JoinPolicy(rollup_ratio=100.0),
-    "rolled up, shuffle": JoinPolicy(broadcast_rows=0, rollup_ratio=100.0),
-    "budget for some": JoinPolicy(total_broadcast_rows=6, rollup_ratio=0.0),
+    "rolled up, shuffle": JoinPolicy(broadcast_bytes=0, rollup_ratio=100.0),
+    "budget for some": JoinPolicy(total_broadcast_bytes=300, rollup_ratio=0.0),
 }
 
 
@@ -79,7 +79,7 @@ def test_hot_key_is_split_and_exact(spark):
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
-        out = family_table(rows, rows, spec, carry=("instance_id", "user_id"), policy=JoinPolicy(broadcast_rows=0))
+        out = family_table(rows, rows, spec, carry=("instance_id", "user_id"), policy=JoinPolicy(broadcast_bytes=0))
         got = out.filter("user_id = -1").agg(F.count("*"), F.min("clicks"), F.max("clicks"), F.min("buys")).first()
         assert tuple(got) == (n // 3, n // 3, n // 3, n // 6)
         out.collect()
