@@ -20,7 +20,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions import ratio, smoothed_rate
 from clickloom.operators.sizing import BROADCAST_BYTES, row_bytes
 from clickloom.sources.stage import stage
 
@@ -128,13 +127,13 @@ class SourceSizes:
 
 def _source_sizes(source: DataFrame, key_sets: Sequence[tuple[str, ...]]) -> SourceSizes:
     """Rows, groups per key set and the longest texts: one pass, one result row."""
+    # Expressions as text: hundreds of small column calls would cost more than the job on small data.
     sketches = [
-        F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(*ks), F.lit(12))).alias(f"g{i}")
-        for i, ks in enumerate(key_sets)
+        f"hll_sketch_estimate(hll_sketch_agg(xxhash64({', '.join(ks)}), 12)) AS g{i}" for i, ks in enumerate(key_sets)
     ]
     texts = [c for c, kind in source.dtypes if kind == "string"]
-    longest = [F.max(F.octet_length(c)).alias(f"len_{c}") for c in texts]
-    row = source.agg(F.count(F.lit(1)).alias("n"), *sketches, *longest).first()
+    longest = [f"max(octet_length({c})) AS len_{c}" for c in texts]
+    row = source.selectExpr("count(1) AS n", *sketches, *longest).first()
     return SourceSizes(
         row["n"], [row[f"g{i}"] for i in range(len(key_sets))], {c: row[f"len_{c}"] or 0 for c in texts}
     )
@@ -246,23 +245,25 @@ def family_table(
     # Broadcast joins first: they need no shuffle, and the shuffles that follow stay next to each other.
     for g in sorted(groups, key=lambda g: g not in small):
         out = out.join(F.broadcast(lookups[g]) if g in small else lookups[g], list(g[0]), "left")
-    return out.select(*carry, *_finish(family, keep_counts))
+    return out.selectExpr(*carry, *_finish(family, keep_counts))
 
 
-def _finish(family: Family, keep_counts: bool):
-    by_name = {m.name: m for m in family.measures}
+def _finish(family: Family, keep_counts: bool) -> list[str]:
+    """SQL expressions of the outputs: filled measures and their quotients."""
+    measures = {m.name: m for m in family.measures}
+    rates = {r.name: r for r in family.rates}
 
-    def value(name: str):
-        m = by_name[name]
-        return F.col(name) if m.fill is None else F.coalesce(F.col(name), F.lit(m.fill))
+    def value(name: str) -> str:
+        fill = measures[name].fill
+        return name if fill is None else f"coalesce({name}, {fill}L)"
 
-    rates = {r.name: r for r in family.rates}
-    for name in family.outputs(keep_counts):
-        if name in by_name:
-            yield value(name).alias(name)
-        elif rates[name].prior:
-            r = rates[name]
-            yield smoothed_rate(value(r.hits), value(r.tries), *r.prior).alias(name)
-        else:
-            r = rates[name]
-            yield ratio(value(r.hits), value(r.tries)).alias(name)
+    def quotient(r: Rate) -> str:
+        hits, tries = (f"cast({value(n)} AS double)" for n in (r.hits, r.tries))
+        if r.prior is None:
+            return f"try_divide({hits}, {tries})"
+        alpha, beta = (f"{v!r}D" for v in r.prior)
+        return f"({hits} + {alpha}) / ({tries} + {alpha} + {beta})"
+
+    return [
+        f"{value(n) if n in measures else quotient(rates[n])} AS {n}" for n in family.outputs(keep_counts)
+    ]

@@ -55,16 +55,18 @@ def feature_table(
 ) -> DataFrame:
     """Label rows of all slices with every feature.
 
-    ``prepared`` should be a stored table, since each family reads its own few columns of it.
+    ``prepared`` should be a stored table, since each family reads its own few columns of it. Exact
+    copies of a label row count as clicks of their day, but only one of them is in the result.
     Families are computed on narrow projections and staged on their own; they meet once, by a row
     number given to the stored label rows, so duplicate instance ids stay harmless and no wide row is
     shuffled on a feature key. ``text_models`` adds the text scores (text column -> settings).
     """
-    labels = stage(label_rows(prepared, slices).withColumn(ROW, F.monotonically_increasing_id()), "labels")
+    clicks = stage(label_rows(prepared, slices), "clicks")
+    labels = stage(clicks.dropDuplicates().withColumn(ROW, F.monotonically_increasing_id()), "labels")
     history = history_rows(prepared, slices)
 
     def family_job(family: Family):
-        source = labels if family.over == "label" else history
+        source = clicks if family.over == "label" else history
         return lambda: family_table(labels, source, family, (ROW,), keep_counts=keep_counts, policy=policy)
 
     jobs = [family_job(f) for f in families]
