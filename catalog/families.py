@@ -53,7 +53,7 @@ _single("a5_mean_over_active_days", _measures(
     "a5", Measure("user_day_avg_click_times", (specs.USER,), daily=True)))
 _single("a6_conversion_rate", Family.of_conversions("a6", (
     Conversion((specs.CITY,), "item_city_click_total_times", "item_city_trade_total_times", "city_transfer_rate"),)))
-_single("a9_daily_rate", specs._daily(
+_single("a9_daily_rate", specs.daily_family(
     (specs.BRAND, "brand_day_avg_click_times", "brand_day_avg_trade_times", "brand_day_transfer_rate")))
 
 USER_RATE = Family.of_conversions("user_rate", (

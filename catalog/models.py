@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +19,7 @@ from clickloom.plans.stacking import (
     cross_fed_stack, full_train_score, holdout_loss, leaf_logistic, leaf_table, out_of_fold,
 )
 from clickloom.sources import stage, table
+from oracle.click_log import with_slices
 
 FIRST, SECOND = with_rounds(FIRST_LIBRARY, 3), with_rounds(SECOND_LIBRARY, 3)
 
@@ -94,16 +94,26 @@ def m10(spark, sf):
     return first.join(second, "instance_id")
 
 
-@query("m11_joint_one_hot")
+def one_hot_sql() -> str:
+    """Each column's code, shifted by the sizes of the columns before it (one place more each, for NULL)."""
+    codes = ", ".join(f"dense_rank() OVER (ORDER BY {c}) - 1 AS c{i}" for i, c in enumerate(CATEGORICAL))
+    sizes = ", ".join(f"count(DISTINCT {c}) + 1 AS s{i}" for i, c in enumerate(CATEGORICAL))
+    places = " UNION ALL ".join(
+        f"SELECT slice, instance_id, CAST(c{i}{''.join(f' + s{j}' for j in range(i))} AS INT) AS place FROM codes, sizes"
+        for i in range(len(CATEGORICAL))
+    )
+    return with_slices(places, f"codes AS (SELECT slice, instance_id, {codes} FROM l)", f"sizes AS (SELECT {sizes} FROM l)")
+
+
+@query("m11_joint_one_hot", one_hot_sql())
 def m11(spark, sf):
-    """Non-zero positions of the joint one-hot vectors of 17 categorical columns."""
+    """Positions set in the joint one-hot vectors of 17 categorical columns, train and test coded together."""
     labels, _ = sliced(spark, sf, CATEGORICAL)
-    train, test = labels.filter("slice < 3"), labels.filter("slice = 3")
-    frames, _ = joint_one_hot(train, test)
+    frames, _ = joint_one_hot(labels.filter("slice < 3"), labels.filter("slice = 3"))
     both = frames[0].unionByName(frames[1])
-    ones = F.aggregate(vector_to_array("one_hot"), F.lit(0.0), lambda a, x: a + x)
-    return both.select("slice", "instance_id", ones.cast("int").alias("n_ones"),
-                       F.size(vector_to_array("one_hot")).alias("width"))
+    # The sparse form as it is: the vectors are as wide as all columns have values.
+    sparse = F.from_json(F.to_json(F.struct("one_hot")), "one_hot struct<indices array<int>>")
+    return both.select("slice", "instance_id", F.explode(sparse["one_hot"]["indices"]).alias("place"))
 
 
 @query("m12_leaf_embedding")

@@ -48,11 +48,6 @@ class Dictionary:
     sizes: dict[str, int]
     widths: dict[str, int]
 
-    def of(self, column: str, code_name: str) -> DataFrame:
-        return self.codes.filter(F.col("column") == column).select(
-            F.col("value").alias(f"_v_{column}"), F.col("code").alias(code_name)
-        )
-
 
 def fit_dictionary(df: DataFrame, columns: Sequence[str]) -> Dictionary:
     """Codes 0..n-1 of the sorted distinct values of every column; numbers sort as numbers.
@@ -93,14 +88,15 @@ def fit_dictionary(df: DataFrame, columns: Sequence[str]) -> Dictionary:
 def encode(
     df: DataFrame, dictionary: Dictionary, columns: dict[str, str], broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Add the code of ``column`` as ``columns[column]``; dictionaries of small counted size are broadcast."""
+    """Add the code of ``column`` as the new ``columns[column]``; dictionaries of small counted size are broadcast."""
     for column, target in sorted(columns.items(), key=lambda c: dictionary.sizes[c[0]]):
-        lookup = dictionary.of(column, f"_code_{column}")
+        lookup = dictionary.codes.where(f"column = '{column}'").selectExpr(
+            f"value AS _value_{column}", f"code AS {target}"
+        )
         if fits(dictionary.sizes[column], 2, dictionary.widths[column], broadcast_bytes):
             lookup = F.broadcast(lookup)
-        df = df.join(lookup, F.col(column).cast("string") == F.col(f"_v_{column}"), "left")
-        df = df.withColumn(target, F.col(f"_code_{column}")).drop(f"_code_{column}", f"_v_{column}")
-    return df
+        df = df.join(lookup, F.expr(f"cast({column} AS string) = _value_{column}"), "left")
+    return df.drop(*[f"_value_{c}" for c in columns])
 
 
 def shuffled(df: DataFrame, id_col: str = "instance_id", seed: str = "", name: str = "row_index") -> DataFrame:

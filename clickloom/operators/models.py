@@ -141,7 +141,7 @@ def joint_one_hot(
         df = encode(df, dictionary, codes)
         # NULL is a category of its own, after all others.
         return df.withColumns({
-            codes[c]: F.coalesce(F.col(codes[c]), F.lit(dictionary.sizes[c])).cast("double") for c in columns
+            codes[c]: F.expr(f"cast(coalesce({codes[c]}, {dictionary.sizes[c]}) AS double)") for c in columns
         })
 
     spark = frames[0].sparkSession

@@ -123,7 +123,7 @@ THREE_KEY = Family.of_conversions("three_key", (
 ))
 
 
-def _daily(*rows: tuple) -> Family:
+def daily_family(*rows: tuple) -> Family:
     measures, rates = [], []
     for key, clicks, trades, rate in rows:
         if clicks:
@@ -136,7 +136,7 @@ def _daily(*rows: tuple) -> Family:
     return Family("daily_average", tuple(measures), tuple(rates), kept)
 
 
-DAILY_AVERAGE = _daily(
+DAILY_AVERAGE = daily_family(
     (ITEM, "item_day_avg_click_times", "item_day_avg_trade_times", "item_day_avg_transfer_rate"),
     (USER, "user_day_avg_click_times", "user_day_avg_trade_times", "user_day_transfer_rate"),
     (LAST_CATEGORY, None, "category_day_avg_trade_times", None),
