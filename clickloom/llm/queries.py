@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, language, quality
+from clickloom.llm import (
+    bpe, embedding_dedup, fingerprint, language, minhash, mixing, quality, substring_dedup, suffix_dedup, url_filter,
+)
 from clickloom.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +50,62 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.fit(docs.where("NOT held_out"), table(spark, sf_dir, "labels"))
     scored = docs.select("doc_id", "held_out", model.column("text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and verdict of every vector."""
+    found = embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), 0.93)
+    kept = F.col("id") == F.col("component")
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), kept.alias("kept"))
+
+
+@query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    rows = mixed.withColumn("_", F.explode(F.array_repeat(F.lit(1), F.col("rows").cast("int"))))
+    taken = (F.col("size") * F.col("copies")).cast("long")
+    return rows.select(
+        F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "rate", "copies", taken.alias("taken")
+    )
+
+
+@query
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    return url_filter.judge(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+@query
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every whole text and of its edited text, and their likeness."""
+    pairs = fingerprint.edited_pairs(table(spark, sf_dir, "documents"))
+    prints = pairs.withColumn("edited_fingerprint", fingerprint.fingerprint(F.col("edited")))
+    return prints.select(
+        F.col("id").alias("doc_id"), "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint",
+        fingerprint.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        fingerprint.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every whole text once windows of 20 words that start earlier too are gone."""
+    kept = substring_dedup.kept_words(table(spark, sf_dir, "documents"), 20, hashed=True)
+    return kept.withColumnsRenamed({"id": "doc_id", "kept": "kept_sha256"})
+
+
+@query
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count, component and verdict of every whole text."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+    kept = F.col("id") == F.col("component")
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), kept.alias("kept"))
+
+
+@query
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left of every whole text once strings of 100 bytes that start earlier too are gone."""
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"), 100).withColumnRenamed("id", "doc_id")
