@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -40,3 +43,20 @@ def local_session(app: str = "clickloom", cpus: str | int | None = None) -> Spar
     spark = tune(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Hand this package to the Python workers, once per application, so that they need not find it by path."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent
+        bundle = Path(tempfile.mkdtemp(prefix="clickloom-ship-")) / "clickloom.zip"
+        with zipfile.ZipFile(bundle, "w", zipfile.ZIP_DEFLATED) as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, str(file.relative_to(package.parent)))
+        context.addPyFile(str(bundle))
+        _shipped.add(context.applicationId)
+    return spark
