@@ -11,9 +11,9 @@ With 25 bands of 5 a pair at similarity 0.8 meets with probability 0.99995; the
 standard deviations below the threshold.
 
 Defined results: words are what lies between white space of ``[\\x20\\x09-\\x0D]``, A-Z lowered. A text of fewer words
-than a shingle is one shingle; a null text or one without words has an empty set and is linked with nothing. Rows
-that share an id and a set count once in ``near_duplicates``. Null ids sort first and are ids like others. An empty
-table stays empty; other columns are not read.
+than a shingle is one shingle; a null text or one without words has an empty set and is linked with nothing, and so is
+a row without an id, whose component is null. Rows that share an id and a set count once in ``near_duplicates``; the id
+is the document's name, so rows that share it belong together. An empty table stays empty; other columns are not read.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.components import connected_components
@@ -35,7 +35,6 @@ MINIMA = 128
 CHUNK = 256
 # Shingles of a chunk of a family, if it has more than one document.
 CHUNK_SHINGLES = 1 << 16
-NO_ID = -(1 << 63)
 
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
@@ -189,7 +188,7 @@ def near_duplicates(
 ) -> DataFrame:
     """(id, n_shingles, component): component is the least id reachable over links of at least ``percent``."""
     signed = stage(signatures(docs, width, id_col, text_col).dropDuplicates(["id", "key"]), "mh-signed")
-    known = signed.where("n > 0").withColumn("id", F.coalesce("id", F.lit(NO_ID)))
+    known = signed.where("n > 0 AND id IS NOT NULL")
     classes = stage(
         known.groupBy("key").agg(F.min("id").alias("node"), F.first("n").alias("n"), F.first("packed").alias("packed"), F.first("bands").alias("bands")),
         "mh-classes",
@@ -207,7 +206,7 @@ def near_duplicates(
             packed = [shingle_set(t.as_py(), width).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(packed, pa.binary())], ["node", "shingles"])
 
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("node"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
     wanted = texts.join(members.select(F.col("node").alias("m")), F.expr("node = m"), "left_semi")
     sets = wanted.mapInArrow(sets_of, "node long, shingles binary").withColumnRenamed("node", "s").distinct()
     filled = cells.join(stage(sets, "mh-sets"), F.expr("node = s"))
@@ -230,5 +229,20 @@ def near_duplicates(
         .select("k", F.coalesce("component", "node").alias("component")),
         "mh-info",
     )
-    component = F.coalesce(F.nullif("component", F.lit(NO_ID)), F.col("id"))
-    return signed.select("id", "n", "key").join(info, F.expr("key = k"), "left").select("id", F.col("n").alias("n_shingles"), component.alias("component"))
+    return signed.select("id", "n", "key").join(info, F.expr("id IS NOT NULL AND key = k"), "left").select(
+        "id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component")
+    )
+
+
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each component: the one of least id.
+
+    Rows without an id can't be told apart and stay; of rows that share an id and the text one stays.
+    """
+    found = near_duplicates(docs, width, percent, id_col, text_col)
+    lost = stage(found.where("id <> component").select(F.col("id").alias("_lost")).distinct(), "mh-lost")
+    mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    same = Window.partitionBy(id_col).orderBy("_mark")
+    left = docs.where(F.col(id_col).isNotNull()).join(lost, F.col(id_col) == F.col("_lost"), "left_anti")
+    single = left.withColumn("_mark", mark).withColumn("_before", F.lag("_mark").over(same)).where("_before IS NULL OR _before <> _mark")
+    return single.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
