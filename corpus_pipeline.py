@@ -1,4 +1,4 @@
-"""The corpus pipeline: quality filter and BPE encoding of the documents.
+"""The corpus pipeline: quality filter, near-dedup, repeat removal, source mixing and BPE encoding of the documents.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and reread as the docs of
 the next stage. All but the last return the columns of ``documents``.
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import bpe, quality
+from clickloom.llm import bpe, minhash, mixing, quality, suffix_dedup
 from clickloom.llm.common import fold_of, table
 from clickloom.llm.queries import vocabulary
 from clickloom.sources.stage import stage
@@ -21,13 +21,34 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return quality.keep_good(docs, model)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: five-word shingles, similarity of 0.8 or more."""
+    return minhash.keep_one(docs, width=5, percent=80)
+
+
+def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 100 bytes that start earlier too are cut out of the texts."""
+    return suffix_dedup.without_repeats(docs, width=100)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.taken(docs, mixing.mix(docs))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document; documents without a text have none."""
     ids = bpe.Bpe(vocabulary()).ids("text")
     return docs.select("doc_id", "source", ids.alias("ids")).withColumn("n_tokens", F.size("ids").cast("long"))
 
 
-STAGES = [("quality classifier", quality_filter), ("BPE encoding", encode)]
+STAGES = [
+    ("quality classifier", quality_filter),
+    ("near dedup", near_dedup),
+    ("suffix-array dedup", repeat_removal),
+    ("source mixing", source_mix),
+    ("BPE encoding", encode),
+]
 
 # Fitted models, hashing and rounding have no SQL form; the tests compare the stages with brute force.
 ORACLE_SQL = None
