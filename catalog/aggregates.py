@@ -33,16 +33,17 @@ ENTITIES = {
     "item": ("item_is_click_total_times", "item_is_trade_times"),
     "shop": ("shop_is_click_total_times", "shop_is_trade_times"),
 }
-STEPS = 8
+STEPS, TOLERANCE = 1000, 1e-8
 
 
-def prior_sql(steps: int = STEPS) -> str:
-    """The fixed-point steps unrolled; digamma differences as sums of reciprocals."""
+def prior_sql() -> str:
+    """The fixed-point steps as a recursive query; digamma differences as sums of reciprocals."""
     counts = " UNION ALL ".join(
         f"SELECT '{e}' AS entity, {t} AS t, {h} AS h FROM r" for e, (t, h) in ENTITIES.items()
     )
+    # Tables of a recursive query may be read in it, so the tails come as lists, one row per entity.
     ctes = [
-        f"r AS ({family_sql(RATES)})",
+        f"r AS MATERIALIZED ({family_sql(RATES)})",
         f"c AS ({counts})",
         """tails AS (
           SELECT entity, kind, k, CAST(sum(w) AS DOUBLE) AS w FROM (
@@ -51,27 +52,33 @@ def prior_sql(steps: int = STEPS) -> str:
               UNION ALL SELECT entity, 'misses', t - h, count(*) FROM c GROUP BY ALL
               UNION ALL SELECT entity, 'tries', t, count(*) FROM c GROUP BY ALL))
           GROUP BY ALL)""",
-        "fit0 AS (SELECT DISTINCT entity, CAST(1 AS DOUBLE) AS a, CAST(1 AS DOUBLE) AS b FROM c)",
+        """packed AS MATERIALIZED (
+          SELECT entity,
+            list({'k': k, 'w': w} ORDER BY k) FILTER (WHERE kind = 'hits') AS hits,
+            list({'k': k, 'w': w} ORDER BY k) FILTER (WHERE kind = 'misses') AS misses,
+            list({'k': k, 'w': w} ORDER BY k) FILTER (WHERE kind = 'tries') AS tries
+          FROM tails GROUP BY entity)""",
+        f"""steps AS (
+          SELECT entity, 0 AS i, CAST(1 AS DOUBLE) AS a, CAST(1 AS DOUBLE) AS b, CAST(1 AS DOUBLE) AS moved FROM packed
+          UNION ALL
+          SELECT entity, i + 1, na, nb, greatest(abs(na - a), abs(nb - b)) FROM (
+            SELECT s.entity, s.i, s.a, s.b,
+              s.a * list_sum([x.w / (s.a + x.k) for x in p.hits]) / list_sum([x.w / (s.a + s.b + x.k) for x in p.tries]) AS na,
+              s.b * list_sum([x.w / (s.b + x.k) for x in p.misses]) / list_sum([x.w / (s.a + s.b + x.k) for x in p.tries]) AS nb
+            FROM steps s JOIN packed p USING (entity) WHERE s.moved >= {TOLERANCE} AND s.i < {STEPS}))""",
     ]
-    for i in range(steps):
-        ctes.append(f"""fit{i + 1} AS (
-          SELECT f.entity,
-            f.a * sum(CASE WHEN kind = 'hits' THEN w / (f.a + k) END)
-                / sum(CASE WHEN kind = 'tries' THEN w / (f.a + f.b + k) END) AS a,
-            f.b * sum(CASE WHEN kind = 'misses' THEN w / (f.b + k) END)
-                / sum(CASE WHEN kind = 'tries' THEN w / (f.a + f.b + k) END) AS b
-          FROM fit{i} f JOIN tails USING (entity) GROUP BY f.entity, f.a, f.b)""")
-    return ("WITH " + ",\n".join(ctes)
-            + f"\nSELECT entity, round(a, 6) AS alpha, round(b, 6) AS beta FROM fit{steps}")
+    return ("WITH RECURSIVE " + ",\n".join(ctes) + f"""
+SELECT entity, round(arg_max(a, i), 4) AS alpha, round(arg_max(b, i), 4) AS beta, min(moved) < {TOLERANCE} AS converged
+FROM steps GROUP BY entity""")
 
 
 @query("a8_prior_fit", prior_sql())
 def a8_prior_fit(spark, sf):
-    """Beta priors of users, items and shops over label rows, after a fixed number of steps."""
-    priors = fit_beta_priors(family(spark, sf, RATES), ENTITIES, max_iter=STEPS, tolerance=0.0)
-    fits = [(entity, p.alpha, p.beta) for entity, p in priors.items()]
-    table = spark.createDataFrame(fits, "entity string, alpha double, beta double")
-    return table.select("entity", F.round("alpha", 6).alias("alpha"), F.round("beta", 6).alias("beta"))
+    """Beta priors of users, items and shops over label rows, run to the tolerance."""
+    priors = fit_beta_priors(family(spark, sf, RATES), ENTITIES, max_iter=STEPS, tolerance=TOLERANCE)
+    fits = [(entity, p.alpha, p.beta, p.converged) for entity, p in priors.items()]
+    table = spark.createDataFrame(fits, "entity string, alpha double, beta double, converged boolean")
+    return table.select("entity", F.round("alpha", 4).alias("alpha"), F.round("beta", 4).alias("beta"), "converged")
 
 
 @query("a11_global_mean", with_log("SELECT round(avg(is_trade), 9) AS mean_trade, count(*) AS n_rows FROM click_log"))

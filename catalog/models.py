@@ -1,4 +1,8 @@
-"""Model queries. Rounds are few: they show the dataflow, not the best attainable score."""
+"""Model queries and, for each, a summary with a DuckDB twin.
+
+Queries that fit one model use the presets unchanged. Those that fit many (folds, slices, trials) use MANY_FITS rounds
+per model, as the README says: a round costs some seconds of small jobs whatever the data.
+"""
 
 from __future__ import annotations
 
@@ -7,21 +11,27 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog.registry import RATES, SLICES, family_table, query, sliced
+from catalog.registry import QUERIES, RATES, SLICES, SLICES_END, family_table, prepared, query, sliced
+from clickloom.operators.indexing import equal_folds
 from clickloom.operators.models import (
     CATEGORICAL, FIRST_LIBRARY, LEAF_TREES, PREDICT_TEXT, PROPERTY_TEXT, SECOND_LIBRARY, feature_columns,
     fit_boosted, fit_with_validation, importances, joint_one_hot, model_input, score, text_score, top_features,
     with_rounds,
 )
-from clickloom.plans.feature_table import text_score_table
+from clickloom.plans.feature_table import TEXT_SCORES, feature_table, text_score_table
 from clickloom.plans.search import Tuner
 from clickloom.plans.stacking import (
-    cross_fed_stack, full_train_score, holdout_loss, leaf_logistic, leaf_table, out_of_fold,
+    cross_fed_stack, full_train_score, holdout_loss, leaf_holdout_losses, leaf_logistic, leaf_table, out_of_fold,
 )
 from clickloom.sources import stage, table
 from oracle.click_log import with_slices
 
-FIRST, SECOND = with_rounds(FIRST_LIBRARY, 3), with_rounds(SECOND_LIBRARY, 3)
+MANY_FITS = 8
+FIRST_OF_MANY, SECOND_OF_MANY = with_rounds(FIRST_LIBRARY, MANY_FITS), with_rounds(SECOND_LIBRARY, MANY_FITS)
+TEXT_OF_MANY = {
+    "item_property_list": with_rounds(PROPERTY_TEXT, MANY_FITS),
+    "predict_category_property": with_rounds(PREDICT_TEXT, MANY_FITS),
+}
 
 
 def model_frame(spark, sf) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -37,14 +47,14 @@ def model_frame(spark, sf) -> tuple[DataFrame, DataFrame, list[str]]:
 def m2(spark, sf):
     labels, history = sliced(spark, sf, ["item_property_list"])
     return text_score_table(labels, history, SLICES, "item_property_list", "property_prob",
-                            with_rounds(PROPERTY_TEXT, 3), ("slice", "instance_id"))
+                            TEXT_OF_MANY["item_property_list"], ("slice", "instance_id"))
 
 
 @query("m3_predict_text_score")
 def m3(spark, sf):
     labels, history = sliced(spark, sf, ["predict_category_property"])
     return text_score_table(labels, history, SLICES, "predict_category_property", "predict_prob",
-                            with_rounds(PREDICT_TEXT, 3), ("slice", "instance_id"))
+                            TEXT_OF_MANY["predict_category_property"], ("slice", "instance_id"))
 
 
 @query("m2_document_text_score")
@@ -54,26 +64,27 @@ def m2_documents(spark, sf):
     labels = table(spark, sf, "labels").select("doc_id", "quality")
     labelled = documents.join(labels, "doc_id")
     other = documents.join(labels, "doc_id", "left_anti")
-    return text_score(labelled, other, "text", "quality_prob", with_rounds(PROPERTY_TEXT, 2),
-                      keep=("doc_id",), label="quality", max_vocabulary=1 << 10)
+    return text_score(labelled, other, "text", "quality_prob", TEXT_OF_MANY["item_property_list"],
+                      keep=("doc_id",), label="quality")
 
 
 @query("m5_out_of_fold_scores")
 def m5(spark, sf):
+    """Ten folds of equal size; every row is scored by a model that has not seen its fold."""
     train, _, features = model_frame(spark, sf)
-    return out_of_fold(train, features, with_rounds(FIRST_LIBRARY, 2))
+    return out_of_fold(equal_folds(train), features, FIRST_OF_MANY)
 
 
 @query("m6_m9_full_train_scores")
 def m6(spark, sf):
     train, test, features = model_frame(spark, sf)
-    return full_train_score(train, test, features, FIRST)
+    return full_train_score(train, test, features, FIRST_LIBRARY)
 
 
 @query("m7_holdout_loss")
 def m7(spark, sf):
     train, _, features = model_frame(spark, sf)
-    return holdout_loss(train, features, FIRST)
+    return holdout_loss(train, features, FIRST_LIBRARY)
 
 
 @query("m8_validated_by_time")
@@ -81,15 +92,14 @@ def m8(spark, sf):
     """Train on label day 23, stop by the loss on day 24, score day 24."""
     train, _, features = model_frame(spark, sf)
     first, second = train.filter("slice = 1"), train.filter("slice = 2")
-    model = fit_with_validation(first, second, features, with_rounds(FIRST_LIBRARY, 5))
+    model = fit_with_validation(first, second, features, FIRST_LIBRARY)
     return score(model, second, features, ("instance_id", "is_trade"))
 
 
 @query("m10_cross_fed_stack")
 def m10(spark, sf):
     train, test, features = model_frame(spark, sf)
-    quick = with_rounds(FIRST_LIBRARY, 1), with_rounds(SECOND_LIBRARY, 1)
-    stacked = cross_fed_stack(train, test, features, *quick, n_folds=3)
+    stacked = cross_fed_stack(equal_folds(train), test, features, FIRST_OF_MANY, SECOND_OF_MANY)
     first, second = (df.withColumnRenamed("predicted_score", name) for name, df in stacked.items())
     return first.join(second, "instance_id")
 
@@ -125,13 +135,20 @@ def m12(spark, sf):
 @query("m13_leaf_logistic")
 def m13(spark, sf):
     train, test, features = model_frame(spark, sf)
-    return leaf_logistic(train, test, features, boosting=with_rounds(LEAF_TREES, 5), max_iter=15)
+    return leaf_logistic(train, test, features)
+
+
+@query("m13_leaf_holdout_losses")
+def m13_losses(spark, sf):
+    """Hold-out losses of the leaf trees themselves and of the logistic regression on their leaves."""
+    train, _, features = model_frame(spark, sf)
+    return leaf_holdout_losses(train, features)
 
 
 @query("a17_feature_importance")
 def a17(spark, sf):
     train, _, features = model_frame(spark, sf)
-    return importances(fit_boosted(train, features, FIRST), features, spark)
+    return importances(fit_boosted(train, features, FIRST_LIBRARY), features, spark)
 
 
 @query("t5_m22_selected_features")
@@ -139,13 +156,13 @@ def t5(spark, sf):
     """Scores from the five most important features, raw ids dropped from the start."""
     train, test, _ = model_frame(spark, sf)
     features = feature_columns(train, drop=("item_id", "shop_id", "context_id"))
-    best = top_features(fit_boosted(train, features, SECOND), features, 5)
-    return full_train_score(train, test, best, SECOND)
+    best = top_features(fit_boosted(train, features, SECOND_OF_MANY), features, 5)
+    return full_train_score(train, test, best, SECOND_OF_MANY)
 
 
 def tuner() -> Tuner:
     space = {"maxDepth": range(2, 4), "stepSize": [0.1, 0.3], "featureSubsetStrategy": ["all", "sqrt"]}
-    return Tuner.by_log_loss(GBTClassifier(maxIter=1, seed=0), space, n_folds=2)
+    return Tuner.by_log_loss(GBTClassifier(maxIter=MANY_FITS, seed=0), space, n_folds=3)
 
 
 def tuning_data(spark, sf) -> DataFrame:
@@ -162,3 +179,137 @@ def m19(spark, sf):
 @query("m20_d6_surrogate_search")
 def m20(spark, sf):
     return tuner().search(tuning_data(spark, sf), "instance_id", n_iter=0.4, n_top=2)
+
+
+@query("e2_feature_table_with_text")
+def e2(spark, sf):
+    """The whole feature path: counts, rates, positions, re-clicks and both text scores."""
+    return feature_table(stage(prepared(spark, sf, SLICES_END), "log"), SLICES, text_models=TEXT_OF_MANY)
+
+
+@query("m6_full_table_scores")
+def m6_full_table(spark, sf):
+    """One library fitted on the whole feature table, without exact copies and with gaps filled; the test slice scored."""
+    whole = stage(e2(spark, sf), "full")
+    features = feature_columns(whole)
+    return full_train_score(whole.filter("slice < 3"), whole.filter("slice = 3"), features, FIRST_OF_MANY)
+
+
+def companion(name: str, sql: str):
+    """Register ``<name>_checks``: what must hold of the query's rows, next to counts that DuckDB takes from the tables."""
+    def register(summary):
+        base = QUERIES[name]
+
+        @query(f"{name}_checks", sql)
+        def run(spark, sf):
+            return summary(spark, sf, base(spark, sf))
+
+        return run
+
+    return register
+
+
+def scored(score: str, *ids: str):
+    """Aggregates: rows, ids, and whether every score is there and within [0, 1]."""
+    inside = F.count_if(F.col(score).between(0.0, 1.0)) == F.count(F.lit(1))
+    return F.count(F.lit(1)).alias("n_rows"), F.count_distinct(*ids).alias("n_ids"), inside.alias("all_scored")
+
+
+def counted_sql(where: str = "", by: str = "") -> str:
+    return with_slices(f"""SELECT {by + "," if by else ""} count(*) AS n_rows, count(DISTINCT instance_id) AS n_ids, true AS all_scored
+        FROM l {"WHERE " + where if where else ""} {"GROUP BY " + by if by else ""}""")
+
+
+for _name, _score in (("m2_property_text_score", "property_prob"), ("m3_predict_text_score", "predict_prob")):
+    companion(_name, counted_sql(by="slice"))(
+        lambda spark, sf, df, score=_score: df.groupBy("slice").agg(*scored(score, "instance_id")))
+
+for _name in ("m6_m9_full_train_scores", "m13_leaf_logistic", "t5_m22_selected_features", "m6_full_table_scores"):
+    companion(_name, counted_sql("slice = 3"))(lambda spark, sf, df: df.agg(*scored("predicted_score", "instance_id")))
+
+
+@companion("m2_document_text_score", """
+SELECT count(*) AS n_rows, count(DISTINCT doc_id) AS n_ids, true AS all_scored
+FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
+def m2_documents_checks(spark, sf, df):
+    return df.agg(*scored("quality_prob", "doc_id"))
+
+
+@companion("m5_out_of_fold_scores", with_slices("""
+SELECT count(*) AS n_rows, count(DISTINCT instance_id) AS n_ids, true AS all_scored, CAST(sum(is_trade) AS BIGINT) AS n_buys,
+  10 AS n_folds, count(*) // 10 AS smallest_fold
+FROM l WHERE slice < 3"""))
+def m5_checks(spark, sf, df):
+    sizes = df.groupBy("fold").count().agg(F.min("count").alias("smallest_fold"))
+    return df.agg(*scored("predicted_score", "instance_id"), F.sum("is_trade").alias("n_buys"),
+                  F.count_distinct("fold").cast("int").alias("n_folds")).crossJoin(F.broadcast(sizes))
+
+
+@companion("m8_validated_by_time", with_slices("""
+SELECT count(*) AS n_rows, count(DISTINCT instance_id) AS n_ids, true AS all_scored, CAST(sum(is_trade) AS BIGINT) AS n_buys
+FROM l WHERE slice = 2"""))
+def m8_checks(spark, sf, df):
+    return df.agg(*scored("predicted_score", "instance_id"), F.sum("is_trade").alias("n_buys"))
+
+
+@companion("m10_cross_fed_stack", with_slices("""
+SELECT count(*) AS n_rows, count(DISTINCT instance_id) AS n_ids, true AS all_scored, true AS second_scored
+FROM l WHERE slice = 3"""))
+def m10_checks(spark, sf, df):
+    second = F.count_if(F.col("second_on_first").between(0.0, 1.0)) == F.count(F.lit(1))
+    return df.agg(*scored("first_on_second", "instance_id"), second.alias("second_scored"))
+
+
+@companion("m12_leaf_embedding", with_slices("""
+SELECT 13 * count(*) AS n_rows, count(DISTINCT instance_id) AS n_ids, 13 AS n_trees, true AS leaves_fit
+FROM l WHERE slice = 3"""))
+def m12_checks(spark, sf, df):
+    """13 trees of at most eight leaves."""
+    return df.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("instance_id").alias("n_ids"),
+        F.count_distinct("tree").cast("int").alias("n_trees"), (F.count_if(F.col("leaf").between(0, 7)) == F.count(F.lit(1))).alias("leaves_fit"),
+    )
+
+
+@companion("m7_holdout_loss", "SELECT 1 AS n_rows, true AS plausible")
+def m7_checks(spark, sf, df):
+    """A loss near that of the constant rate: above zero, below that of a coin."""
+    return df.agg(F.count(F.lit(1)).cast("int").alias("n_rows"), F.every(F.col("log_loss").between(1e-6, 0.7)).alias("plausible"))
+
+
+@companion("m13_leaf_holdout_losses", "SELECT 2 AS n_rows, 2 AS n_models, true AS plausible")
+def m13_losses_checks(spark, sf, df):
+    return df.agg(F.count(F.lit(1)).cast("int").alias("n_rows"), F.count_distinct("model").cast("int").alias("n_models"),
+                  F.every(F.col("log_loss").between(1e-6, 0.7)).alias("plausible"))
+
+
+@companion("a17_feature_importance", "SELECT 1.0::DOUBLE AS total, true AS ordered, true AS names_differ")
+def a17_checks(spark, sf, df):
+    return df.agg(F.round(F.sum("importance"), 6).alias("total"), (F.min("importance") >= 0).alias("ordered"),
+                  (F.count_distinct("feature") == F.count(F.lit(1))).alias("names_differ"))
+
+
+@companion("m19_m21_random_search", "SELECT 2 AS n_trials, true AS in_space, true AS scores_negative")
+def m19_checks(spark, sf, df):
+    """The square root of the eight settings, each different and from the space."""
+    inside = F.col("maxDepth").isin(2, 3) & F.col("stepSize").isin(0.1, 0.3) & F.col("featureSubsetStrategy").isin("all", "sqrt")
+    return df.agg(F.count_distinct("maxDepth", "stepSize", "featureSubsetStrategy").cast("int").alias("n_trials"),
+                  F.every(inside).alias("in_space"), F.every(F.col("score") < 0).alias("scores_negative"))
+
+
+@companion("m20_d6_surrogate_search", "SELECT 2 AS n_best, true AS in_space, true AS scores_negative")
+def m20_checks(spark, sf, df):
+    inside = F.col("maxDepth").isin(2, 3) & F.col("stepSize").isin(0.1, 0.3) & F.col("featureSubsetStrategy").isin("all", "sqrt")
+    return df.agg(F.count_distinct("maxDepth", "stepSize", "featureSubsetStrategy").cast("int").alias("n_best"),
+                  F.every(inside).alias("in_space"), F.every(F.col("score") < 0).alias("scores_negative"))
+
+
+@companion("e2_feature_table_with_text", with_slices("""
+SELECT slice, count(*) AS n_rows, count(DISTINCT instance_id) AS n_ids, true AS all_scored, CAST(sum(is_trade) AS BIGINT) AS n_buys
+FROM l GROUP BY slice"""))
+def e2_checks(spark, sf, df):
+    inside = [F.count_if(F.col(c).between(0.0, 1.0)) == F.count(F.lit(1)) for c in TEXT_SCORES.values()]
+    return df.groupBy("slice").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("instance_id").alias("n_ids"), (inside[0] & inside[1]).alias("all_scored"),
+        F.sum("is_trade").alias("n_buys"),
+    )

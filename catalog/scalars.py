@@ -128,7 +128,7 @@ def p14(spark, sf):
     lookup = history.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("user_click_same_item_times"), F.sum("is_trade").alias("user_buy_same_item_times")
     )
-    return labels.join(lookup, keys, "left").select(
+    return labels.join(stage(lookup, "lookup"), keys, "left").select(
         "instance_id", "slice", "user_click_same_item_times", "user_buy_same_item_times"
     ).na.fill(0)
 

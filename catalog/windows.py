@@ -94,7 +94,7 @@ FROM rep r JOIN click_log c USING (user_id, item_id, shop_id, event_date, hour)
 def j6_rows_of_repeated_groups(spark, sf):
     keys = ["user_id", "item_id", "shop_id", "event_date", "hour"]
     log = stage(prepared(spark, sf).select("instance_id", *keys), "log")
-    return log.join(repeated_groups(log, keys), keys).select("instance_id", *keys, "same_user_click_times")
+    return log.join(stage(repeated_groups(log, keys), "groups"), keys).select("instance_id", *keys, "same_user_click_times")
 
 
 REPEAT_ROWS = REPEATED + """,

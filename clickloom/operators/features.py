@@ -5,8 +5,8 @@ join is planned, one pass over the source estimates the number of groups of ever
 length of its texts. From these sizes follow two decisions:
 
 * lookups proven small come out of one scan with grouping sets and are broadcast, within a budget
-  per lookup and in total; all others are aggregated on their own and joined by shuffle, where
-  adaptive execution splits hot keys;
+  per lookup and in total; all others are aggregated on their own, stored and joined by shuffle,
+  where adaptive execution splits hot keys (it does so between stored tables only);
 * if the combination of all coarse keys has far fewer groups than the source has rows, the source
   is first reduced to that grain, and the lookups are rolled up from the reduced table.
 """
@@ -239,7 +239,10 @@ def family_table(
     for g, measures in groups.items():
         if g not in lookups:
             rolled = base is not None and g in coarse
-            lookups[g] = _aggregate(base if rolled else source, g[0], measures, rolled)
+            lookup = _aggregate(base if rolled else source, g[0], measures, rolled)
+            # Stored: fresh off its aggregate it would be partitioned by the join keys already, and a join with such a
+            # side is not split where a key is hot.
+            lookups[g] = lookup if g in small else stage(lookup, f"{family.name}-lookup")
 
     out = target.select(*dict.fromkeys([*carry, *scope, *family.keys]))
     # Broadcast joins first: they need no shuffle, and the shuffles that follow stay next to each other.

@@ -9,8 +9,10 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from clickloom.operators.indexing import Dictionary, encode, fit_dictionary
 from clickloom.operators.text import fit_tfidf, tokens_of
@@ -28,9 +30,10 @@ CATEGORICAL = (
 
 @dataclass(frozen=True)
 class Boosting:
-    """Boosted-tree settings; rounds are few and steps long, as every round costs ``maxDepth`` jobs."""
+    """Boosted-tree settings. Rounds times rate are the original's; rounds are few and steps long, as every round costs
+    ``maxDepth`` jobs."""
 
-    maxIter: int = 60
+    maxIter: int = 120
     maxDepth: int = 4
     stepSize: float = 0.1
     subsamplingRate: float = 0.7
@@ -47,8 +50,8 @@ class Boosting:
 FIRST_LIBRARY = Boosting()
 SECOND_LIBRARY = Boosting(maxDepth=5, subsamplingRate=0.8, featureSubsetStrategy="0.3", seed=1)
 LEAF_TREES = Boosting(maxIter=13, maxDepth=3, stepSize=0.01, subsamplingRate=1.0, featureSubsetStrategy="all")
-PROPERTY_TEXT = Boosting(stepSize=0.2, subsamplingRate=0.8, featureSubsetStrategy="all")
-PREDICT_TEXT = Boosting(subsamplingRate=0.8, featureSubsetStrategy="0.3", seed=2018)
+PROPERTY_TEXT = Boosting(maxIter=200, stepSize=0.2, subsamplingRate=0.8, featureSubsetStrategy="all")
+PREDICT_TEXT = Boosting(maxIter=200, subsamplingRate=0.8, featureSubsetStrategy="0.3", seed=2018)
 
 
 def positive(probability: str = "probability") -> Column:
@@ -107,17 +110,17 @@ def top_features(model: PipelineModel, features: Sequence[str], k: int = 104) ->
 
 def text_score(
     history: DataFrame, label_rows: DataFrame, text: str, name: str, boosting: Boosting,
-    keep: Sequence[str] = (ID,), label: str = LABEL, max_vocabulary: int = 1 << 14,
+    keep: Sequence[str] = (ID,), label: str = LABEL, width: int = 1 << 14,
 ) -> DataFrame:
     """Conversion probability of a text: trees fitted on the history, applied to the label rows.
 
-    The vocabulary and idf come from both tables, labels only from the history.
+    The idf comes from both tables, labels only from the history; ``width`` is that of the hashed vectors.
     """
     tokens = tokens_of(text).alias("_tokens")
     # Texts are split once; the passes of the vectoriser and of the trees read the stored tokens.
     past = stage(spread(history.select(text, F.col(label).cast("double").alias("label"))).select(tokens, "label"), "text")
     now = stage(spread(label_rows.select(*keep, text)).select(*keep, tokens), "text")
-    vectors = fit_tfidf(past.select("_tokens").unionAll(now.select("_tokens")), "_tokens", "features", max_vocabulary)
+    vectors = fit_tfidf(past.select("_tokens").unionAll(now.select("_tokens")), "_tokens", "features", width)
     shared_folder(history.sparkSession)
     trees = boosting.classifier().fit(vectors.transform(past).select("features", "label"))
     return trees.transform(vectors.transform(now)).select(*keep, positive().alias(name))
@@ -128,32 +131,42 @@ def joint_one_hot(
 ) -> tuple[list[DataFrame], Dictionary]:
     """One-hot vectors over the values of all frames together; each frame gets ``output``.
 
-    Codes come from a distributed dictionary, so no list of distinct ids passes through the
-    driver; the encoder itself only learns one size per column.
+    Codes come from a distributed dictionary. A column's codes are shifted by the sizes of the columns before it, and a
+    row's places make up its sparse vector directly, so neither the driver nor a schema ever holds a list of values.
+    Only (row, categorical columns) goes through the dictionary joins. A model with one weight per place still holds
+    the whole width on the driver.
     """
-    united = frames[0].select(*columns)
-    for frame in frames[1:]:
-        united = united.unionAll(frame.select(*columns))
+    narrow = [frame.select(*columns) for frame in frames]
+    united = narrow[0]
+    for frame in narrow[1:]:
+        united = united.unionAll(frame)
     dictionary = fit_dictionary(united, columns)
+    # NULL is a category of its own, after all others.
+    starts, width = {}, 0
+    for c in columns:
+        starts[c], width = width, width + dictionary.sizes[c] + 1
+    if width > (1 << 31) - 1:
+        raise ValueError(f"{width} values do not fit a vector; encode fewer columns, or hash their values first")
     codes = {c: f"_oh_{c}" for c in columns}
+    places = F.array(*[F.expr(f"cast(coalesce({codes[c]}, {dictionary.sizes[c]}) + {starts[c]} AS int)") for c in columns])
 
     def coded(df: DataFrame) -> DataFrame:
-        df = encode(df, dictionary, codes)
-        # NULL is a category of its own, after all others.
-        return df.withColumns({
-            codes[c]: F.expr(f"cast(coalesce({codes[c]}, {dictionary.sizes[c]}) AS double)") for c in columns
-        })
+        rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "one-hot")
+        found = encode(rows.select("_row", *columns), dictionary, codes)
+        vectors = found.select(F.col("_row").alias("_coded"), sparse_ones(places, width).alias(output))
+        return rows.join(stage(vectors, "one-hot"), F.expr("_row = _coded")).drop("_row", "_coded")
 
-    spark = frames[0].sparkSession
-    spans = spark.createDataFrame([tuple(float(dictionary.sizes[c]) for c in columns)], ", ".join(
-        f"{codes[c]} double" for c in columns
-    ))
-    encoder = OneHotEncoder(
-        inputCols=list(codes.values()), outputCols=[f"{c}_v" for c in codes.values()], dropLast=False
-    ).fit(spans)
-    assembler = VectorAssembler(inputCols=[f"{c}_v" for c in codes.values()], outputCol=output)
-    drop = [*codes.values(), *[f"{c}_v" for c in codes.values()]]
-    return [assembler.transform(encoder.transform(coded(f))).drop(*drop) for f in frames], dictionary
+    return [coded(f) for f in frames], dictionary
+
+
+def sparse_ones(places: Column, width: int) -> Column:
+    """Sparse vector with 1.0 at the given ascending places; its column carries no metadata."""
+    parts = F.struct(
+        F.lit(0).alias("type"), F.lit(width).alias("size"), places.alias("indices"),
+        F.transform(places, lambda _: F.lit(1.0)).alias("values"),
+    )
+    text = F.to_json(F.struct(parts.alias("v")))
+    return F.from_json(text, StructType([StructField("v", VectorUDT())]))["v"]
 
 
 def fit_leaf_embedding(

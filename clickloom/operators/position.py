@@ -144,6 +144,8 @@ def keep_end(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER,
 def drop_latest(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER) -> DataFrame:
     """All rows but the latest of each key; keys with one row vanish, as do rows with a NULL key."""
     ends = rows.dropna(subset=list(keys)).groupBy(*keys).agg(F.max(F.struct(*order)).alias("_last"))
+    # Stored, so that a join on a hot key can be split.
+    ends = stage(ends, "ends")
     return rows.join(ends, list(keys)).filter(F.struct(*order) < F.col("_last")).drop("_last")
 
 

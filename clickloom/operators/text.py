@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, HashingTF, Normalizer
+from pyspark.ml.feature import IDF, ElementwiseProduct, HashingTF, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,20 +53,14 @@ def tfidf_table(docs: DataFrame, text: str, ids: Sequence[str], broadcast_bytes:
     return raw.select(*ids, "term", "tf", "df", (F.col("raw") / norm).alias("weight"))
 
 
-def fit_tfidf(
-    docs: DataFrame, tokens: str, output: str = "text_vector", max_vocabulary: int = 1 << 14
-) -> PipelineModel:
-    """Vectors of token arrays. Exact vocabulary if its counted size is within the bound, else hashed.
+def fit_tfidf(docs: DataFrame, tokens: str, output: str = "text_vector", width: int = 1 << 14) -> PipelineModel:
+    """Vectors of token arrays: every term is hashed to one of ``width`` places, whatever the size of the vocabulary.
 
-    The vocabulary is the one thing that passes through the driver, hence the bound. The IDF stage
-    lacks the ``+ 1`` of the smooth idf; since ``tf * (idf + 1)`` is an elementwise product with a
-    fixed vector, the fitted weights are folded into one ``ElementwiseProduct``.
+    Terms that share a place add up. The width is a parameter and never follows from the data. The IDF stage lacks the
+    ``+ 1`` of the smooth idf; since ``tf * (idf + 1)`` is an elementwise product with a fixed vector, the fitted
+    weights are folded into one ``ElementwiseProduct``.
     """
-    size = docs.select(F.explode(tokens)).distinct().count()
-    if size <= max_vocabulary:
-        tf = CountVectorizer(inputCol=tokens, outputCol="_tf", vocabSize=max(size, 1), minDF=1.0).fit(docs)
-    else:
-        tf = HashingTF(inputCol=tokens, outputCol="_tf", numFeatures=max_vocabulary)
+    tf = HashingTF(inputCol=tokens, outputCol="_tf", numFeatures=width)
     idf = IDF(inputCol="_tf", outputCol="_idf").fit(tf.transform(docs)).idf
     weights = Vectors.dense(idf.toArray() + 1.0)
     return PipelineModel(stages=[

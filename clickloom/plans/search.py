@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from clickloom.functions import hash_unit
 from clickloom.operators.indexing import hash_folds
 from clickloom.operators.scores import top_n
+from clickloom.sources.stage import stage
 
 
 def param_grid(spark: SparkSession, space: Mapping[str, Sequence]) -> DataFrame:
@@ -27,17 +28,6 @@ def param_grid(spark: SparkSession, space: Mapping[str, Sequence]) -> DataFrame:
     return grid
 
 
-def thin_ranges(space: Mapping[str, Sequence], at_most: int = 10, seed: int = 0) -> dict[str, Sequence]:
-    """For integer ranges, a random choice of ``at_most`` values; explicit lists stay whole."""
-    import random
-
-    pick = random.Random(seed)
-    return {
-        name: sorted(pick.sample(values, at_most)) if isinstance(values, range) and len(values) > at_most else values
-        for name, values in space.items()
-    }
-
-
 def trial_budget(size: int, n_iter: str | int | float = "auto") -> int:
     """Number of trials: ``auto``/``sqrt``, ``log2``, a fraction of the grid, or a number."""
     if isinstance(n_iter, str):
@@ -74,14 +64,11 @@ class Tuner:
         """Mean k-fold score of every trial row. Scores are negated where less is better."""
         rows = trials.collect()  # a handful of parameter settings
         maps = [{self.estimator.getParam(k): v for k, v in r.asDict().items()} for r in rows]
-        folded = hash_folds(data, self.n_folds, id_col, salt=str(self.seed), name="_fold").cache()
-        try:
-            fitted = CrossValidator(
-                estimator=self.estimator, evaluator=self.evaluator, estimatorParamMaps=maps,
-                numFolds=self.n_folds, foldCol="_fold", parallelism=self.parallelism,
-            ).fit(folded)
-        finally:
-            folded.unpersist()
+        folded = stage(hash_folds(data, self.n_folds, id_col, salt=str(self.seed), name="_fold"), "folds")
+        fitted = CrossValidator(
+            estimator=self.estimator, evaluator=self.evaluator, estimatorParamMaps=maps,
+            numFolds=self.n_folds, foldCol="_fold", parallelism=self.parallelism,
+        ).fit(folded)
         sign = 1.0 if self.evaluator.isLargerBetter() else -1.0
         scored = [(*r, float(sign * m)) for r, m in zip(rows, fitted.avgMetrics)]
         return data.sparkSession.createDataFrame(scored, trials.schema.add("score", "double"))
@@ -94,9 +81,8 @@ class Tuner:
     def search(self, data: DataFrame, id_col: str, n_iter: str | int | float = "auto", n_top: int = 3) -> DataFrame:
         """Random trials, surrogate scores of the whole grid, cross-validated scores of its best rows."""
         trials = self.random_trials(data, id_col, n_iter)
-        grid = param_grid(data.sparkSession, thin_ranges(self.space, seed=self.seed))
-        best = top_n(surrogate_scores(trials, grid), n_top, "pred_score", *grid.columns)
-        best = best.cache()
+        grid = param_grid(data.sparkSession, self.space)
+        best = stage(top_n(surrogate_scores(trials, grid), n_top, "pred_score", *grid.columns), "best")
         checked = self.evaluate(data, best.select(*grid.columns), id_col)
         return best.join(checked, list(grid.columns)).orderBy(F.desc("pred_score"), *grid.columns)
 

@@ -103,6 +103,19 @@ def leaf_logistic(
     )
 
 
+def leaf_holdout_losses(
+    train: DataFrame, features: Sequence[str], categorical: Sequence[str] = CATEGORICAL, boosting: Boosting = LEAF_TREES,
+    share: float = 0.3, with_categories: bool = False, **options,
+) -> DataFrame:
+    """(model, log_loss) on a random hold-out: the boosted trees alone, and logistic regression on their leaves."""
+    rest, held = holdout(train, share)
+    boosted = score(fit_boosted(rest, features, boosting), held, features, (ID, LABEL))
+    leaves = leaf_logistic(rest, held, features, categorical, boosting, with_categories=with_categories, **options)
+    leaves = leaves.join(held.select(F.col(ID).alias("_held"), LABEL), F.col(ID) == F.col("_held")).drop("_held")
+    return log_loss(boosted).select(F.lit("boosted").alias("model"), "log_loss").unionAll(
+        log_loss(leaves).select(F.lit("leaf_logistic").alias("model"), "log_loss"))
+
+
 def leaf_table(train: DataFrame, rows: DataFrame, features: Sequence[str], boosting: Boosting = LEAF_TREES) -> DataFrame:
     """(id, tree, leaf) of every row."""
     model = fit_leaf_embedding(train, features, boosting)

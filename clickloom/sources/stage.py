@@ -13,16 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset."""
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """Folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset and all is one machine."""
+    context = spark.sparkContext
+    configured = context.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not is_one_machine(context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="clickloom-"))
     return context.getCheckpointDir().rstrip("/")
 
 
+def is_one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def new_path(spark: SparkSession, label: str = "stage") -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
@@ -40,7 +46,8 @@ def stage(df: DataFrame, label: str = "stage", partition_by: tuple[str, ...] = (
 def spread(df: DataFrame) -> DataFrame:
     """Share rows out evenly where a few input splits would leave cores idle during heavy row work.
 
-    Large inputs have more splits than the cluster has cores and pass unchanged.
+    Inputs of at least as many files as the cluster has cores pass unchanged. The files are counted by name: no
+    stage of the plan runs for it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores)

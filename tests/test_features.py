@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators.features import Conversion, Family, JoinPolicy, Measure, family_table
+from clickloom.operators.position import drop_latest, repeated_groups
 from clickloom.plans import specs
 from clickloom.plans.slices import TimeSlice, history_rows, label_rows, month_slices
+from clickloom.sources import stage
 
 SCHEMA = "slice int, instance_id bigint, user_id bigint, item_brand_id bigint, item_id bigint, is_trade int, event_date date"
 DAY = dt.date(2024, 1, 5)
@@ -58,6 +60,11 @@ def test_zero_denominator(spark):
         assert got["shop_user_share_on_brand"] is None and got["shop_market_share_on_brand"] == 1.0
 
 
+def is_split(df):
+    df.collect()
+    return "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_hot_key_is_split_and_exact(spark):
     """A third of all rows under one key, in a plan without broadcast: the join is split, the counts hold."""
     settings = {
@@ -71,7 +78,7 @@ def test_hot_key_is_split_and_exact(spark):
     before = {k: spark.conf.get(k, None) for k in settings}
     n = 30_000
     rows = spark.range(0, n, 1, 8).select(
-        F.lit(1).alias("slice"), F.col("id").alias("instance_id"),
+        (F.col("id") % 5 % 3).cast("int").alias("slice"), F.col("id").alias("instance_id"),
         F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 5000).alias("user_id"),
         (F.col("id") % 2).cast("int").alias("is_trade"), F.lit(DAY).alias("event_date"),
     )
@@ -79,11 +86,16 @@ def test_hot_key_is_split_and_exact(spark):
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
-        out = family_table(rows, rows, spec, carry=("instance_id", "user_id"), policy=JoinPolicy(broadcast_bytes=0))
-        got = out.filter("user_id = -1").agg(F.count("*"), F.min("clicks"), F.max("clicks"), F.min("buys")).first()
-        assert tuple(got) == (n // 3, n // 3, n // 3, n // 6)
-        out.collect()
-        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+        out = family_table(rows, rows, spec, carry=("slice", "instance_id", "user_id"), policy=JoinPolicy(broadcast_bytes=0))
+        want = {r["slice"]: (r["n"], r["b"]) for r in rows.where("user_id = -1").groupBy("slice").agg(
+            F.count("*").alias("n"), F.sum("is_trade").alias("b")).collect()}
+        got = out.filter("user_id = -1").groupBy("slice").agg(
+            F.min("clicks"), F.max("clicks"), F.min("buys"), F.max("buys")).collect()
+        assert {r[0]: tuple(r[1:]) for r in got} == {s: (n, n, b, b) for s, (n, b) in want.items()} and len(want) == 3
+        assert is_split(out)
+        timed = stage(rows.select("instance_id", "user_id", F.col("instance_id").alias("context_timestamp")))
+        assert is_split(drop_latest(timed, ["user_id"]))
+        assert is_split(timed.join(stage(repeated_groups(timed, ["user_id"])), ["user_id"]))
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)

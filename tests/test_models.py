@@ -119,13 +119,22 @@ def test_tfidf_table_and_vectors_agree_with_the_definition(spark):
     for bound in (0, 1000):
         got = {(r["id"], r["term"]): r["weight"] for r in tfidf_table(docs, "text", ["id"], bound).collect()}
         assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-12) for k in want)
-    for size in (1000, 2):  # exact vocabulary, then hashed
-        split = docs.select("id", tokens_of("text").alias("tokens"))
-        rows = fit_tfidf(split, "tokens", "v", max_vocabulary=size).transform(split).orderBy("id").collect()
-        lengths = [np.linalg.norm(r["v"].toArray()) for r in rows]
-        assert np.allclose(lengths, [1, 1, 1, 0, 0])
-        if size > 2:
-            assert np.allclose(sorted(rows[1]["v"].values), sorted(v for (i, _), v in want.items() if i == 1))
+    split = docs.select("id", tokens_of("text").alias("tokens"))
+    rows = fit_tfidf(split, "tokens", "v").transform(split).orderBy("id").collect()
+    assert np.allclose([np.linalg.norm(r["v"].toArray()) for r in rows], [1, 1, 1, 0, 0])
+    for i in range(3):
+        assert np.allclose(sorted(rows[i]["v"].values), sorted(v for (k, _), v in want.items() if k == i))
+
+
+def test_a_new_term_leaves_other_documents_as_they_were(spark):
+    """The form of the vectors doesn't follow from the size of the vocabulary."""
+    texts = ["red ring", "blue ring", ""]
+    places = []
+    for more in ("", " ".join(f"term{i}" for i in range(40))):
+        split = spark.createDataFrame(list(enumerate([*texts, more])), "id int, text string").select("id", tokens_of("text").alias("tokens"))
+        row = fit_tfidf(split, "tokens", "v").transform(split).where("id = 0").first()
+        places.append((row["v"].size, row["v"].indices.tolist(), row["v"].values.round(9).tolist()))
+    assert places[0] == places[1]
 
 
 def test_prior_fit_matches_a_direct_iteration(spark):

@@ -1,11 +1,11 @@
-"""Every registered query: against its DuckDB twin, or, for fitted models, for rows and invariants."""
+"""Every registered query against its DuckDB twin; fitted models through a summary that has one."""
 
 import pytest
 from check_oracles import differences
 
 import __spark_entry__ as contract
 
-SLOW = {"m10_cross_fed_stack", "m20_d6_surrogate_search"}
+OWN_TESTS = ("op", "pipeline")
 
 
 @pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
@@ -13,9 +13,10 @@ def test_equals_duckdb(spark, con, sf_dir, name):
     assert differences(spark, con, name, sf_dir) == ""
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - set(contract.oracle_sql()) - SLOW))
-def test_has_rows(spark, con, sf_dir, name):
-    assert differences(spark, con, name, sf_dir) == ""
+def test_every_other_query_has_a_summary_with_a_twin():
+    """Fitted models are compared through their ``_checks``; the dealt operators have tests of their own."""
+    bare = {n for n in contract.queries() if n not in contract.oracle_sql() and not n.startswith(OWN_TESTS)}
+    assert {f"{n}_checks" for n in bare} <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
