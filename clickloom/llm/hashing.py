@@ -51,9 +51,11 @@ class Spans:
     def hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.sums[ends] - self.sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
 
-    def rolling(self, width: int) -> np.ndarray:
+    def rolling(self, width: int, mixed: bool = True) -> np.ndarray:
+        """Hashes of all spans of a width, shorter than the sequence; unmixed ones have poor low bits."""
         n = len(self.sums) - width
-        return mix((self.sums[width:] - self.sums[:n]) * self.down[:n] + U(width))
+        plain = (self.sums[width:] - self.sums[:n]) * self.down[:n]
+        return mix(plain + U(width)) if mixed else plain
 
 
 def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

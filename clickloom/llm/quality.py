@@ -169,7 +169,7 @@ def fit(
         )
 
     # One matrix of fixed size per partition; entries are added up by Spark before one matrix reaches the driver.
-    sums = known.mapInArrow(partition_sums, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).toPandas()
+    sums = known.mapInArrow(partition_sums, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).toArrow().to_pandas()
     gram, right = np.zeros((size, size)), np.zeros(size)
     of_right = (sums["j"] < 0).to_numpy()
     right[sums["i"][of_right]] = sums["v"][of_right]
@@ -187,7 +187,7 @@ def fit(
     # One row per score bin.
     table = known.mapInArrow(binned, "place int, y double").groupBy("place").agg(
         F.sum("y").alias("ones"), F.count(F.lit(1)).alias("n")
-    ).orderBy("place").toPandas()
+    ).orderBy("place").toArrow().to_pandas()
     steps, values = isotonic(table["place"].to_numpy() / bins, table["ones"].to_numpy(), table["n"].to_numpy())
     return QualityModel(mean, scale, weights, shift, solution, steps, values)
 

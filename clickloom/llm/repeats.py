@@ -40,17 +40,19 @@ COLLECTION = 4096
 # Symbols of a text handled at a time; a place within fits into PLACE_BITS.
 PLACE_BITS = 22
 STRETCH = 1 << 21
+# Symbols of short texts handled at a time.
+AT_ONCE = 1 << 16
 BLOOM_BITS = 1 << 28
 PROBES = (U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9))
 
 
 @dataclass(frozen=True)
 class Anchors:
-    """Parallel arrays: anchor hash, context hash, place of the anchor, first and last window start."""
+    """Parallel arrays: number of the sequence, anchor hash, context hash, first and last window start."""
 
+    owner: np.ndarray
     key: np.ndarray
     context: np.ndarray
-    place: np.ndarray
     first: np.ndarray
     last: np.ndarray
 
@@ -58,39 +60,64 @@ class Anchors:
         return len(self.key)
 
     def take(self, at: np.ndarray) -> Anchors:
-        return Anchors(self.key[at], self.context[at], self.place[at], self.first[at], self.last[at])
-
-
-def anchors(symbols: np.ndarray, width: int, seed: int) -> Anchors:
-    """Anchors of a whole sequence, left to right; a run of windows ends where a stretch ends, which is by content of
-    nothing but the window, so equal windows still meet."""
-    parts = []
-    for begin in range(0, max(1, len(symbols) - width + 1), STRETCH):
-        part = symbols[begin : begin + STRETCH + width - 1]
-        if len(part) < width:
-            break
-        spans = Spans(part)
-        seeds = spans.rolling(seed)
-        places = np.arange(len(seeds), dtype=np.uint64)
-        keep = U((1 << PLACE_BITS) - 1)
-        least = sliding_min((seeds & ~keep) | places, width - seed + 1)
-        place = (least & keep).astype(np.int64)
-        first = np.flatnonzero(np.diff(place, prepend=-1))
-        last = np.append(first[1:], len(place)) - 1
-        place = place[first]
-        context = mix(spans.hash(first, last + width) ^ ((place - first).astype(np.uint64) << U(7)))
-        parts.append(Anchors(seeds[place], context, place + begin, first + begin, last + begin))
+        return Anchors(*(getattr(self, f)[at] for f in FIELDS))
+
+
+FIELDS = ("owner", "key", "context", "first", "last")
+
+
+def anchors(sequences: list[np.ndarray], width: int, seed: int) -> Anchors:
+    """Anchors of whole sequences, left to right. Many short ones are laid end to end and handled at once; a long one
+    is handled in stretches. What a window's anchor is follows from nothing but the window, so equal windows meet."""
+    parts: list[Anchors] = []
+    held: list[tuple[int, int, np.ndarray]] = []
+    size = 0
+    for owner, symbols in enumerate(sequences):
+        for begin in range(0, len(symbols) - width + 1, STRETCH):
+            held.append((owner, begin, symbols[begin : begin + STRETCH + width - 1]))
+            size += len(held[-1][2])
+            if size >= AT_ONCE:
+                parts.append(anchors_of_pieces(held, width, seed))
+                held, size = [], 0
+    if held:
+        parts.append(anchors_of_pieces(held, width, seed))
     if not parts:
         none = np.empty(0, np.int64)
-        return Anchors(none.astype(np.uint64), none.astype(np.uint64), none, none, none)
-    return Anchors(*(np.concatenate([getattr(p, f) for p in parts]) for f in ("key", "context", "place", "first", "last")))
+        return Anchors(none, none.astype(np.uint64), none.astype(np.uint64), none, none)
+    return Anchors(*(np.concatenate([getattr(p, f) for p in parts]) for f in FIELDS))
+
+
+def anchors_of_pieces(pieces: list[tuple[int, int, np.ndarray]], width: int, seed: int) -> Anchors:
+    lengths = np.array([len(p) for _, _, p in pieces])
+    ends = np.cumsum(lengths)
+    begins = ends - lengths
+    spans = Spans(np.concatenate([p for _, _, p in pieces]))
+    seeds = spans.rolling(seed, mixed=False)
+    keep = U((1 << PLACE_BITS) - 1)
+    least = sliding_min((seeds & ~keep) | np.arange(len(seeds), dtype=np.uint64), width - seed + 1)
+    place = (least & keep).astype(np.int64)
+    # Windows that run over the end of their piece count with no anchor.
+    for end in ends[:-1].tolist():
+        place[end - width + 1 : end] = -1
+    cut = np.empty(len(place), bool)
+    cut[0] = True
+    np.not_equal(place[1:], place[:-1], out=cut[1:])
+    first = np.flatnonzero(cut)
+    last = np.append(first[1:], len(place)) - 1
+    place = place[first]
+    real = place >= 0
+    first, last, place = first[real], last[real], place[real]
+    context = mix(spans.hash(first, last + width) ^ ((place - first).astype(np.uint64) << U(7)))
+    piece = np.searchsorted(ends, first, "right")
+    shift = np.array([b for _, b, _ in pieces])[piece] - begins[piece]
+    return Anchors(np.array([o for o, _, _ in pieces])[piece], mix(seeds[place]), context, first + shift, last + shift)
 
 
 def first_of_equals(found: Anchors) -> np.ndarray:
-    """True where no equal (anchor, context) stands to the left."""
+    """True where no equal (anchor, context) of the same sequence stands to the left."""
     out = np.zeros(len(found), bool)
-    pair = mix(found.key ^ (found.context * U(3)))
-    out[np.unique(pair, return_index=True)[1]] = True
+    same = mix(found.key ^ (found.context * U(3))) ^ (found.owner.astype(np.uint64) * U(0x9E3779B97F4A7C15))
+    out[np.unique(same, return_index=True)[1]] = True
     return out
 
 
@@ -122,8 +149,8 @@ def build_bloom(keys: DataFrame, count: int, limit: int = BLOOM_BITS) -> Bloom:
 
     words = np.zeros(bits // 64, np.uint64)
     if count:
-        table = keys.select("key").mapInArrow(places, "word int, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
-        words[table["word"].to_numpy()] = table["bits"].to_numpy().astype(np.int64).view(np.uint64)
+        table = keys.select("key").mapInArrow(places, "word int, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+        words[table["word"].to_numpy()] = table["bits"].to_numpy().view(np.uint64)
     return Bloom(words)
 
 
@@ -135,26 +162,20 @@ def signed(values: np.ndarray) -> pa.Array:
 class Repeats:
     """How texts become symbols and how a collection is compared.
 
-    ``symbols(text)`` gives the 64-bit symbols; ``content(text, starts, ends)`` the bytes of spans of symbols;
+    ``symbols(texts)`` gives the 64-bit symbols of each text; ``content(text, starts, ends)`` the bytes of spans of symbols;
     ``compare(contents)`` takes the contents of a collection, in the order of their documents, and gives parallel arrays
     (content, window start, class): windows of equal content share a class. A symbol takes ``symbol_bytes`` of a content.
     """
 
     width: int
     seed: int
-    symbols: Callable[[str | None], np.ndarray]
+    symbols: Callable[[list[str | None]], list[np.ndarray]]
     content: Callable[[str, np.ndarray, np.ndarray], list[bytes]]
     compare: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]
     symbol_bytes: int
 
-    def of(self, text: str | None) -> Anchors:
-        return anchors(self.symbols(text), self.width, self.seed)
-
-    def local(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Window stretches (first, last) that repeat an earlier context of the same text."""
-        found = self.of(text)
-        again = ~first_of_equals(found)
-        return found.first[again], found.last[again]
+    def of(self, texts: list[str | None]) -> Anchors:
+        return anchors(self.symbols(texts), self.width, self.seed)
 
     def removed(self, docs: DataFrame, bloom_bits: int = BLOOM_BITS) -> DataFrame:
         """(id, mark, first, last): stretches of removed window starts, but for those that ``local`` finds.
@@ -168,8 +189,7 @@ class Repeats:
         def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for texts in in_parts(batch.column("text")):
-                    found = [op.of(t).key for t in texts]
-                    yield pa.RecordBatch.from_arrays([signed(np.concatenate(found))], ["key"])
+                    yield pa.RecordBatch.from_arrays([signed(op.of(texts).key)], ["key"])
 
         counted = docs.select("text").mapInArrow(keys, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
         repeated = stage(counted.where("n > 1").select("key"), "rep-keys")
@@ -178,21 +198,21 @@ class Repeats:
         def reports(batches: Iterator[pa.RecordBatch], pick: Callable, content: bool) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for ids, texts in zip(in_parts(batch.column("id")), in_parts(batch.column("text")), strict=True):
-                    parts, owners, marks, contents = [], [], [], []
-                    for i, text in zip(ids, texts, strict=True):
-                        found = op.of(text)
-                        found = found.take(np.flatnonzero(first_of_equals(found)))
-                        found = found.take(np.flatnonzero(pick(found, i)))
-                        parts.append(found)
-                        owners.append(np.full(len(found), i, np.int64))
-                        marks.append(np.full(len(found), mark_of(text), np.int32))
-                        if content and len(found):
-                            contents += op.content(text, found.first, found.last + op.width)
-                    key, context, first, last = (np.concatenate([getattr(p, f) for p in parts]) for f in ("key", "context", "first", "last"))
-                    columns = [signed(key), signed(context), pa.array(np.concatenate(owners)), pa.array(np.concatenate(marks)),
-                               pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))]
+                    found = op.of(texts)
+                    found = found.take(np.flatnonzero(first_of_equals(found)))
+                    owners = np.array(ids, np.int64)[found.owner]
+                    met = np.flatnonzero(pick(found, owners))
+                    found, owners = found.take(met), owners[met]
+                    marks = np.array([mark_of(t) for t in texts], np.int32)[found.owner]
+                    columns = [signed(found.key), signed(found.context), pa.array(owners), pa.array(marks),
+                               pa.array(found.first.astype(np.int32)), pa.array(found.last.astype(np.int32))]
                     names = ["key", "context", "id", "mark", "first", "last"]
                     if content:
+                        ends = np.searchsorted(found.owner, np.arange(len(texts) + 1))
+                        contents = []
+                        for k in np.unique(found.owner).tolist():
+                            mine = slice(ends[k], ends[k + 1])
+                            contents += op.content(texts[k], found.first[mine], found.last[mine] + op.width)
                         columns.append(pa.array(contents, pa.binary()))
                         names.append("content")
                     yield pa.RecordBatch.from_arrays(columns, names)
@@ -218,7 +238,7 @@ class Repeats:
         asked = spark.sparkContext.broadcast(build_bloom(wanted, wanted.count(), bloom_bits))
 
         def shown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            pick = lambda found, i: asked.value.has(triple(found.key, found.context, np.full(1, i, np.int64).view(np.uint64)))
+            pick = lambda found, ids: asked.value.has(triple(found.key, found.context, ids.view(np.uint64)))
             return reports(batches, pick, True)
 
         texts = docs.mapInArrow(shown, schema + ", content binary")
@@ -284,17 +304,24 @@ class Repeats:
             ["id", "mark", "first", "last", "a", "b"],
         )
 
-    def covered(self, n: int, text: str | None, stretches: list | None) -> np.ndarray:
-        """True for each of the n symbols of a text that a removed window covers."""
-        first, last = self.local(text)
-        step = np.zeros(n + self.width + 1, np.int64)
-        np.add.at(step, first, 1)
-        np.add.at(step, last + self.width, -1)
-        if stretches:
-            pairs = np.array([(s["first"], s["last"]) for s in stretches])
-            np.add.at(step, pairs[:, 0], 1)
-            np.add.at(step, pairs[:, 1] + self.width, -1)
-        return np.cumsum(step)[:n] > 0
+    def covered(self, texts: list[str | None], counts: list[int], stretches: list) -> list[np.ndarray]:
+        """For each text, True for each of its symbols (``counts`` of them) that a removed window covers."""
+        found = self.of(texts)
+        again = found.take(np.flatnonzero(~first_of_equals(found)))
+        bounds = np.searchsorted(again.owner, np.arange(len(texts) + 1))
+        out = []
+        for k, (n, some) in enumerate(zip(counts, stretches, strict=True)):
+            mine = slice(bounds[k], bounds[k + 1])
+            first, last = again.first[mine], again.last[mine]
+            if some:
+                pairs = np.array([(s["first"], s["last"]) for s in some])
+                first, last = np.concatenate([first, pairs[:, 0]]), np.concatenate([last, pairs[:, 1]])
+            if not len(first):
+                out.append(np.zeros(n, bool))
+                continue
+            step = np.bincount(first, minlength=n + 1) - np.bincount(last + self.width, minlength=n + 1)
+            out.append(np.cumsum(step)[:n] > 0)
+        return out
 
     def with_stretches(self, docs: DataFrame, bloom_bits: int = BLOOM_BITS) -> DataFrame:
         """``docs`` (id, text) with a column ``stretches``: the removed window starts of each row, null if none."""

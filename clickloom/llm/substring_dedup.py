@@ -64,11 +64,14 @@ def parse(strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def word_repeats(width: int = 20, seed: int = 6) -> Repeats:
-    def symbols(text: str | None) -> np.ndarray:
-        return word_hashes(np.frombuffer((text or "").encode("utf-8"), np.uint8))[0]
+    def symbols(texts: list[str | None]) -> list[np.ndarray]:
+        encoded = [(t or "").encode("utf-8") for t in texts]
+        hashes, starts, _ = word_hashes(np.frombuffer(b" ".join(encoded), np.uint8))
+        ends = np.cumsum([len(e) + 1 for e in encoded])
+        return np.split(hashes, np.searchsorted(starts, ends[:-1]))
 
     def content(text: str, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
-        words = symbols(text)
+        words = symbols([text])[0]
         return [words[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
 
     return Repeats(width, seed, symbols, content, lambda strings: parse(strings, width), WORD_BYTES)
@@ -85,10 +88,10 @@ def kept_words(docs: DataFrame, width: int = 20, hashed: bool = False, id_col: s
         for batch in batches:
             for ids, texts, stretches in zip(*(in_parts(batch.column(c)) for c in ("id", "text", "stretches")), strict=True):
                 rows = []
-                for i, text, found in zip(ids, texts, stretches, strict=True):
-                    data = (text or "").encode("utf-8")
-                    starts, ends = word_spans(np.frombuffer(data, np.uint8))
-                    gone = op.covered(len(starts), text, found)
+                encoded = [(t or "").encode("utf-8") for t in texts]
+                spans = [word_spans(np.frombuffer(d, np.uint8)) for d in encoded]
+                covered = op.covered(texts, [len(a) for a, _ in spans], stretches)
+                for i, data, (starts, ends), gone in zip(ids, encoded, spans, covered, strict=True):
                     left = b" ".join([data[a:b] for a, b in zip(starts[~gone].tolist(), ends[~gone].tolist(), strict=True)])
                     out = hashlib.sha256(left).hexdigest() if hashed else left.decode("utf-8")
                     rows.append((None if i == NO_ID else i, len(starts), int(gone.sum()), out))

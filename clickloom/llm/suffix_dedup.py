@@ -93,8 +93,8 @@ def equal_windows(strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndar
 
 
 def byte_repeats(width: int = 100, seed: int = 32) -> Repeats:
-    def symbols(text: str | None) -> np.ndarray:
-        return BYTES[np.frombuffer((text or "").encode("utf-8"), np.uint8)]
+    def symbols(texts: list[str | None]) -> list[np.ndarray]:
+        return [BYTES[np.frombuffer((t or "").encode("utf-8"), np.uint8)] for t in texts]
 
     def content(text: str, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
         data = text.encode("utf-8")
@@ -115,9 +115,8 @@ def digests(docs: DataFrame, width: int = 100, id_col: str = "doc_id", text_col:
         for batch in batches:
             for ids, texts, stretches in zip(*(in_parts(batch.column(c)) for c in ("id", "text", "stretches")), strict=True):
                 rows = []
-                for i, text, found in zip(ids, texts, stretches, strict=True):
-                    data = np.frombuffer((text or "").encode("utf-8"), np.uint8)
-                    gone = op.covered(len(data), text, found)
+                encoded = [np.frombuffer((t or "").encode("utf-8"), np.uint8) for t in texts]
+                for i, data, gone in zip(ids, encoded, op.covered(texts, [len(d) for d in encoded], stretches), strict=True):
                     spans = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
                     kept = hashlib.sha256(data[~gone].tobytes()).hexdigest()
                     rows.append((None if i == NO_ID else i, len(data), int(gone.sum()), spans, kept))
@@ -141,13 +140,12 @@ def without_repeats(docs: DataFrame, width: int = 100, id_col: str = "doc_id", t
     @F.pandas_udf("string")
     def cut(texts, stretches):  # noqa: ANN001, ANN202
         out = []
-        for text, found in zip(texts, stretches, strict=True):
-            if text is None:
-                out.append(None)
-                continue
-            data = np.frombuffer(text.encode("utf-8"), np.uint8)
-            gone = op.covered(len(data), text, None if found is None else list(found))
-            out.append(data[~gone].tobytes().decode("utf-8", "ignore"))
+        for start in range(0, len(texts), 256):
+            some = texts.iloc[start : start + 256].tolist()
+            found = [None if x is None else list(x) for x in stretches.iloc[start : start + 256]]
+            encoded = [np.frombuffer((t or "").encode("utf-8"), np.uint8) for t in some]
+            for text, data, gone in zip(some, encoded, op.covered(some, [len(d) for d in encoded], found), strict=True):
+                out.append(None if text is None else data[~gone].tobytes().decode("utf-8", "ignore"))
         return type(texts)(out, dtype=object)
 
     from clickloom.sources.stage import stage

@@ -46,11 +46,15 @@ def test_full_bloom_filter_changes_nothing(docs, pairs):
 def test_long_texts_in_stretches(monkeypatch):
     rng = np.random.default_rng(1)
     symbols = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
-    whole = repeats.anchors(symbols, 20, 6)
+    whole = repeats.anchors([symbols], 20, 6)
     monkeypatch.setattr(repeats, "STRETCH", 100)
-    parts = repeats.anchors(symbols, 20, 6)
-    assert parts.first[0] == 0 and parts.last[-1] == 880 and set(whole.place) == set(parts.place)
-    assert (parts.first[1:] == parts.last[:-1] + 1).all()
+    for at_once in (50, 1 << 16):
+        monkeypatch.setattr(repeats, "AT_ONCE", at_once)
+        parts = repeats.anchors([symbols[:10], symbols, symbols[:20], symbols[5:]], 20, 6)
+        mine = parts.take(np.flatnonzero(parts.owner == 1))
+        assert mine.first[0] == 0 and mine.last[-1] == 880 and set(whole.key) == set(mine.key)
+        assert (mine.first[1:] == mine.last[:-1] + 1).all()
+        assert set(parts.owner.tolist()) == {1, 2, 3} and set(parts.key) == set(whole.key)
 
 
 def test_repeated_rows_and_nulls(spark, docs, empty):
