@@ -8,16 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
-    bpe, embedding_dedup, fingerprint, language, minhash, mixing, quality, substring_dedup, suffix_dedup, url_filter,
+    bpe, embedding_dedup, fingerprint, language, minhash, mixing, quality, substring_dedup, suffix_dedup, twins,
+    url_filter,
 )
 from clickloom.llm.common import fold_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+TWINS = {
+    "op1_embedding_dedup": twins.EMBEDDINGS,
+    "op8_substring_dedup": twins.WORD_WINDOWS,
+    "op9_minhash_dedup": twins.MINHASH,
+    "op10_suffix_array_dedup": twins.BYTE_WINDOWS,
+}
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Register a query; its twin, if SQL has one, stands in TWINS."""
     QUERIES[run.__name__] = run
+    if run.__name__ in TWINS:
+        ORACLES[run.__name__] = TWINS[run.__name__]
     return run
 
 
