@@ -36,50 +36,59 @@ def suffix_order(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     data = np.frombuffer(b"".join(strings), np.uint8)
     length = np.array([len(s) for s in strings], np.int64)
     end = np.cumsum(length)
-    before = np.where(length > 0, data[np.maximum(end, 1) - 1].astype(np.int16) + 1 if len(data) else 0, 0).astype(np.int16)
-    owner, size, common = np.arange(m, dtype=np.int32), np.zeros(m, np.int16), np.zeros(m, np.int16)
+    longest = int(length.max(initial=0))
+    # Bytes that occur, in order, from 1 on; 0 stands before a string's first byte. Few symbols sort in one pass.
+    present = np.bincount(data, minlength=256) > 0
+    code = np.cumsum(present).astype(np.uint8 if present.sum() < 255 else np.int16)
+    data = code[data]
+    small = np.uint8 if longest < 255 else np.int32
+    bits = 8 if longest < 255 else 32
+    pack = np.int32 if longest < 255 and m < 1 << 22 else np.int64
+    before = np.where(length > 0, data[np.maximum(end, 1) - 1] if len(data) else 0, 0).astype(code.dtype)
+    # A suffix is its string and its length in one number.
+    name = (np.arange(m) << bits).astype(pack)
+    common = np.zeros(m, small)
     at = np.arange(m)  # place of each string's longest suffix so far
-    for round_ in range(1, int(length.max(initial=0)) + 1):
+    for round_ in range(1, longest + 1):
         live = np.flatnonzero(length >= round_)
         order = np.argsort(before, kind="stable")
         ended = int(np.count_nonzero(before == 0))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        new_rank = rank[at[live]]
+        grows = np.zeros(len(before), bool)
+        grows[at[live]] = True
+        rank = np.flatnonzero(grows[order])
+        string = name[order[rank]] >> bits
         # Ranks whose common prefix changes: the inserted suffixes and those that follow them.
-        touched = np.unique(np.concatenate([new_rank, new_rank + 1]))
-        touched = touched[(touched > ended) & (touched < len(order))]
+        changed = np.zeros(len(order) + 1, bool)
+        changed[rank] = True
+        changed[rank + 1] = True
+        changed = np.flatnonzero(changed[:-1])
+        touched = changed[changed > ended]
         left, right = order[touched - 1], order[touched]
         alike = before[left] == before[right]
         touched, left, right = touched[alike], left[alike], right[alike]
-        padded = np.append(common, np.int16(0))
         bounds = np.empty(2 * len(left), np.int64)
         bounds[::2], bounds[1::2] = left + 1, right + 1
-        least = np.minimum.reduceat(padded, bounds)[::2] if len(bounds) else np.empty(0, np.int16)
-
-        place = m + new_rank - ended
-        fresh = np.zeros(len(before) + len(live), bool)
-        fresh[place] = True
-        by_place = np.argsort(place)
-        string = live[by_place]
-        more = length[string] > round_
-        symbol = np.where(more, data[np.maximum(end[string] - round_ - 1, 0)].astype(np.int16) + 1, 0)
-
-        def merge(old: np.ndarray, new: np.ndarray, fresh: np.ndarray = fresh) -> np.ndarray:
-            out = np.empty(len(fresh), old.dtype)
-            out[~fresh] = old
-            out[fresh] = new
+        least = np.minimum.reduceat(np.append(common, small(0)), bounds)[::2] if len(bounds) else np.empty(0, small)
+
+        place = m + rank - ended
+        symbol = np.where(length[string] > round_, data[np.maximum(end[string] - round_ - 1, 0)], 0)
+        old = np.ones(len(before) + len(live), bool)
+        old[place] = False
+
+        def merge(was: np.ndarray, new: np.ndarray, old: np.ndarray = old, place: np.ndarray = place) -> np.ndarray:
+            out = np.empty(len(old), was.dtype)
+            out[old] = was
+            out[place] = new
             return out
 
-        before, owner, size = merge(before, symbol), merge(owner, string), merge(size, round_)
+        before, name = merge(before, symbol), merge(name, (string.astype(np.int64) << bits) + round_)
         common = merge(common, 0)
+        # Followers of an inserted suffix that begin with another byte share nothing with it.
+        common[m + changed[changed >= ended] - ended] = 0
         common[m + touched - ended] = least + 1
-        followers = new_rank + 1
-        apart = followers[(followers < len(order)) & (followers >= ended)]
-        apart = apart[~np.isin(apart, touched)]
-        common[m + apart - ended] = 0
-        at[live] = place
-    return owner, size, common
+        at[string] = place
+    name = name.astype(np.int64)
+    return name >> bits, name & ((1 << bits) - 1), common
 
 
 def equal_windows(strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,7 +97,7 @@ def equal_windows(strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndar
     kind = np.cumsum(common < width)
     long = size >= width
     length = np.array([len(s) for s in strings], np.int64)
-    owner = owner[long].astype(np.int64)
+    owner = owner[long]
     return owner, length[owner] - size[long], kind[long]
 
 
