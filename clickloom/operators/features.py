@@ -121,7 +121,7 @@ def _base_name(kind: str) -> str:
 @dataclass(frozen=True)
 class SourceSizes:
     rows: int
-    groups: list[int]  # estimated, in the order of the key sets asked for
+    groups: dict[tuple[str, ...], int]  # estimated, by key set
     text_bytes: dict[str, int]  # longest value of every text column
 
 
@@ -135,10 +135,36 @@ def _source_sizes(source: DataFrame, key_sets: Sequence[tuple[str, ...]]) -> Sou
     longest = [f"max(octet_length({c})) AS len_{c}" for c in texts]
     row = source.selectExpr("count(1) AS n", *sketches, *longest).first()
     return SourceSizes(
-        row["n"], [row[f"g{i}"] for i in range(len(key_sets))], {c: row[f"len_{c}"] or 0 for c in texts}
+        row["n"], {ks: row[f"g{i}"] for i, ks in enumerate(key_sets)}, {c: row[f"len_{c}"] or 0 for c in texts}
     )
 
 
+def source_sizes(
+    source: DataFrame, families: Sequence[Family], scope: Sequence[str] = ("slice",), policy: JoinPolicy | None = None
+) -> SourceSizes:
+    """Sizes for all families over one source, in one pass."""
+    key_sets = dict.fromkeys(ks for f in families for ks in _key_sets(_grouped(f, tuple(scope)), tuple(scope), policy or JoinPolicy()))
+    columns = dict.fromkeys(c for ks in key_sets for c in ks)
+    return _source_sizes(source.select(*columns), list(key_sets))
+
+
+def _grouped(family: Family, scope: tuple[str, ...]) -> dict[tuple, list[Measure]]:
+    groups: dict[tuple, list[Measure]] = defaultdict(list)
+    for m in family.measures:
+        groups[(scope + m.keys, m.daily)].append(m)
+    return groups
+
+
+def _base_keys(groups: dict[tuple, list[Measure]], policy: JoinPolicy) -> tuple[set[tuple], tuple[str, ...]]:
+    """The groups that can be rolled up from a common base, and the keys of that base."""
+    coarse = {g for g, ms in groups.items() if _is_additive(ms) and not policy.fine_keys & set(g[0])}
+    return coarse, tuple(dict.fromkeys(k for g in groups if g in coarse for k in g[0]))
+
+
+def _key_sets(groups: dict[tuple, list[Measure]], scope: tuple[str, ...], policy: JoinPolicy) -> list[tuple[str, ...]]:
+    return [*[keys for keys, _ in groups], _base_keys(groups, policy)[1] or scope]
+
+
 def _is_additive(measures: Sequence[Measure]) -> bool:
     return not any(m.daily or m.kind == "distinct_items" for m in measures)
 
@@ -194,24 +220,23 @@ def family_table(
     scope: Sequence[str] = ("slice",),
     keep_counts: bool = False,
     policy: JoinPolicy = JoinPolicy(),
+    sizes: SourceSizes | None = None,
 ) -> DataFrame:
     """``carry`` columns of every target row, followed by the family's features.
 
-    ``scope`` columns are part of every key set: a slice only sees its own history.
+    ``scope`` columns are part of every key set: a slice only sees its own history. ``sizes`` of the source can be
+    handed in where several families share one.
     """
     scope = tuple(scope)
-    groups: dict[tuple, list[Measure]] = defaultdict(list)
-    for m in family.measures:
-        groups[(scope + m.keys, m.daily)].append(m)
+    groups = _grouped(family, scope)
 
     used = list(dict.fromkeys([*scope, *family.keys, "event_date", "item_id", LABEL]))
     source = source.select(*[c for c in used if c in source.columns])
 
     additive = {g for g, ms in groups.items() if _is_additive(ms)}
-    coarse = {g for g in additive if not policy.fine_keys & set(g[0])}
-    base_keys = tuple(dict.fromkeys(k for g in groups if g in coarse for k in g[0]))
-    found = _source_sizes(source, [*[keys for keys, _ in groups], base_keys or scope])
-    *sizes, base_size = found.groups
+    coarse, base_keys = _base_keys(groups, policy)
+    found = sizes or _source_sizes(source, list(dict.fromkeys(_key_sets(groups, scope, policy))))
+    base_size = found.groups[base_keys or scope]
 
     base = None
     if len(coarse) > 1 and base_size * policy.estimate_margin <= policy.rollup_ratio * found.rows:
@@ -220,7 +245,7 @@ def family_table(
 
     budget = policy.total_broadcast_bytes
     small = set()
-    for size, g in sorted(zip(sizes, groups), key=lambda pair: pair[0]):
+    for size, g in sorted(((found.groups[g[0]], g) for g in groups), key=lambda pair: pair[0]):
         width = row_bytes(len(g[0]) + len(groups[g]), sum(found.text_bytes.get(k, 0) for k in g[0]))
         total = int(size * policy.estimate_margin + 1) * width
         if total <= policy.broadcast_bytes and total <= budget:

@@ -62,7 +62,7 @@ def fit_beta_priors(
     returned. Spark reduces the rows to histograms; these, at most sqrt(2N) entries for counts that add up to N (a
     few hundred thousand for a trillion clicks), are all that the steps need and are brought to the driver.
     """
-    table = count_histograms(counts, pairs).toPandas()
+    table = count_histograms(counts, pairs).toArrow().to_pandas()
     fits = {}
     for name in pairs:
         mine = {

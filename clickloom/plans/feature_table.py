@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.operators.features import Family, JoinPolicy, family_table
+from clickloom.operators.features import Family, JoinPolicy, family_table, source_sizes
 from clickloom.operators.models import PREDICT_TEXT, PROPERTY_TEXT, Boosting, text_score
 from clickloom.operators.position import position_table, reclick_table
 from clickloom.plans import specs
@@ -65,9 +65,14 @@ def feature_table(
     labels = stage(clicks.dropDuplicates().withColumn(ROW, F.monotonically_increasing_id()), "labels")
     history = history_rows(prepared, slices)
 
+    sources = {"label": clicks, "history": history}
+    # One pass over each source tells the sizes for all families that read it.
+    sizes = {over: source_sizes(sources[over], [f for f in families if f.over == over], policy=policy)
+             for over in dict.fromkeys(f.over for f in families)}
+
     def family_job(family: Family):
-        source = clicks if family.over == "label" else history
-        return lambda: family_table(labels, source, family, (ROW,), keep_counts=keep_counts, policy=policy)
+        return lambda: family_table(
+            labels, sources[family.over], family, (ROW,), keep_counts=keep_counts, policy=policy, sizes=sizes[family.over])
 
     jobs = [family_job(f) for f in families]
     jobs.append(lambda: position_table(labels, carry=(ROW,)))
