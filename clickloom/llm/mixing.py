@@ -42,7 +42,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), most:
         sizes.groupBy("source").agg(
             F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"),
             F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least"),
-            (F.sum(F.col("size").cast("double") * F.col("size")) / F.sum("size")).alias("typical"),
+            F.try_divide(F.sum(F.col("size").cast("double") * F.col("size")), F.sum("size")).alias("typical"),
         ),
         "mix-sources",
     )
@@ -69,8 +69,8 @@ def tilts(sizes: DataFrame, targets: DataFrame, most: float = 3.0, tolerance: fl
     histogram = stage(
         sizes.where("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-histogram"
     ).withColumnsRenamed({"source": "h_source", "n": "h_n"})
-    share = F.col("target") / F.col("source_size")
-    reach = F.col("typical") / F.col("least")  # here even the shortest document is beyond its bound
+    share = F.try_divide("target", "source_size")
+    reach = F.try_divide("typical", "least")  # here even the shortest document is beyond its bound
     state = targets.withColumns({
         "theta": F.lit(0.0),
         "low": F.when(share < 1, F.log(share) * reach).otherwise(0.0),
@@ -97,8 +97,8 @@ def tilts(sizes: DataFrame, targets: DataFrame, most: float = 3.0, tolerance: fl
         above = F.col("words") > F.col("target")
         low = F.when(F.col("words") < F.col("target"), F.col("theta")).otherwise(F.col("low"))
         high = F.when(above, F.col("theta")).otherwise(F.col("high"))
-        newton = F.col("theta") - F.log(F.col("words") / F.col("target")) * F.col("words") / F.nullif(F.col("slope"), F.lit(0.0))
-        done = F.col("solved") | (F.abs(F.col("words") / F.col("target") - 1) < tolerance)
+        newton = F.col("theta") - F.log(F.try_divide("words", "target")) * F.try_divide("words", "slope")
+        done = F.col("solved") | (F.abs(F.try_divide("words", "target") - 1) < tolerance)
         moved = moved.withColumns({"low": low, "high": high, "next": newton, "solved": F.coalesce(done, F.lit(True))})
         inside = (F.col("next") > F.col("low")) & (F.col("next") < F.col("high"))
         theta = F.when(F.col("solved"), F.col("theta")).when(inside, F.col("next")).otherwise((F.col("low") + F.col("high")) / 2)
@@ -129,7 +129,7 @@ def mix(
         "mix-solved",
     )
     units = stage(sizes.groupBy("id", "source", "size").agg(F.count(F.lit(1)).alias("rows")), "mix-units")
-    tilt = F.exp(F.col("theta") * F.col("size") / F.col("typical"))
+    tilt = F.exp(F.col("theta") * F.try_divide("size", "typical"))
     rated = units.join(solved, F.col("source").eqNullSafe(F.col("t_source"))).select(
         "source", "source_size", "target", "size", "id", "rows",
         F.when(F.col("size") > 0, F.least(F.lit(float(most)), tilt)).otherwise(1.0).alias("rate"),
