@@ -15,13 +15,14 @@ import functools
 import hashlib
 import json
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NEVER = 1 << 62
@@ -29,9 +30,9 @@ NEVER = 1 << 62
 SPACES = regex.compile("[\t-\r \x85\xa0  -     　]+")
 SEPARATORS = regex.compile("[\x1c-\x1f]")
 # Words, and as many chunks between spaces, that one Python worker remembers; a full memory is emptied.
-MEMORY_WORDS = 700_000
+MEMORY_WORDS = 250_000
 # Chunks of texts held at once while their unknown words are encoded together.
-HELD_WORDS = 300_000
+HELD_WORDS = 100_000
 # Longer words (in bytes) get a tree of their own instead of a row in a table of trees.
 ROW_SYMBOLS = 64
 
@@ -297,6 +298,28 @@ class Bpe:
 
         return decode(F.col(ids))
 
+    def encoded(self, docs: DataFrame, keep: Sequence[str], text: str = "text") -> DataFrame:
+        """Columns ``keep``, n_tokens and ids of every row.
+
+        Rows go through a worker a few at a time, and their ids leave as one buffer, so a worker's memory is bounded by
+        a few texts and the remembered words.
+        """
+        path = self.path
+
+        def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bpe = load(path)
+            for batch in batches:
+                for start in range(0, batch.num_rows, 128):
+                    part = batch.slice(start, 128)
+                    packed = list(bpe.encode_all(part.column(text).to_pylist()))
+                    counts = np.array([len(ids) // 4 for ids in packed], np.int64)
+                    offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+                    ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(packed), "<i4")))
+                    yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(counts), ids], [*keep, "n_tokens", "ids"])
+
+        types = ", ".join(f"`{c}` {kind}" for c, kind in docs.select(*keep).dtypes)
+        return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(encode, f"{types}, n_tokens long, ids array<int>")
+
     def digests(self, text: str = "text") -> Column:
         """Struct of the number of ids and the hashes of ids and decoded text; ids and text stay in the worker."""
         path = self.path
