@@ -7,7 +7,6 @@ the next stage. All but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from clickloom.llm import bpe, minhash, mixing, quality, suffix_dedup
 from clickloom.llm.common import fold_of, table
@@ -38,8 +37,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document; documents without a text have none."""
-    ids = bpe.Bpe(vocabulary()).ids("text")
-    return docs.select("doc_id", "source", ids.alias("ids")).withColumn("n_tokens", F.size("ids").cast("long"))
+    return bpe.Bpe(vocabulary()).encoded(docs, ("doc_id", "source"))
 
 
 STAGES = [
