@@ -273,7 +273,8 @@ def m12_checks(spark, sf, df):
 
 @companion("m7_holdout_loss", "SELECT 1 AS n_rows, true AS plausible")
 def m7_checks(spark, sf, df):
-    """A finite loss: some thirty rows are held out at the smallest scale, so it may well exceed that of a constant."""
+    """A finite, positive loss, no more. The labels of the synthetic log don't follow from its features, so a full fit learns
+    noise and its hold-out loss exceeds a coin's (0.81 at sf0.01): no bound on quality can be drawn here."""
     return df.agg(F.count(F.lit(1)).cast("int").alias("n_rows"), F.every(F.col("log_loss").between(1e-6, 5.0)).alias("plausible"))
 
 
