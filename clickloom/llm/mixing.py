@@ -3,9 +3,15 @@
 Each source gets a target number of words. Document rates stay as close to 1 as they can (least Kullback-Leibler
 divergence) while every source meets its target and no rate passes ``most``: ``rate = min(most, exp(theta * size))``,
 one ``theta`` per source. All thetas are found together by Newton steps on the dual, safeguarded by brackets; a step
-is one aggregate over the histogram of sizes. Rates are then rounded to whole copies in blocks of a few hundred
-documents, longest first, each carrying the words still due to the next, so a source misses its target by a few of
-its shortest documents at most.
+is one aggregate over the histogram of sizes.
+
+Rates are rounded to whole copies on that histogram, as documents of one size share a rate: whole copies of a size are
+the steps of the cumulated rates, longest documents first, so the first pass misses a source's words by half its
+longest document at most. What is missing or too much then moves the rates of the source's shortest documents, ten
+times as many words as are due if there are so many, which are rounded anew; passes go on while they bring a source
+nearer. With short documents enough, a source misses by a few words. The copies of a size are dealt evenly over its
+documents in hashed order, in blocks with a prefix over the blocks. A window here holds the distinct sizes of a source,
+at most the root of twice its words, and never its documents.
 
 Defined results: a null or empty text has size 0, takes no words and keeps one copy; a null source is a source of
 its own, the last. Rows that agree in id, source and size are repeated rows: they are rounded as one unit and share
@@ -18,7 +24,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import WORD
@@ -26,6 +32,7 @@ from clickloom.operators.indexing import global_index
 from clickloom.sources.stage import stage
 
 BLOCK_ROWS = 512
+PASSES = 8
 
 
 def word_count(text: str) -> Column:
@@ -121,37 +128,90 @@ def mix(
         docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_col).alias("size")), "mix-sizes"
     )
     solved = tilts(sizes, source_targets(sizes, weights, most), most)
-    solved = stage(
-        solved.select(
-            F.col("source").alias("t_source"), "source_size", "target", "theta", "typical",
-            F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks"),
-        ),
-        "mix-solved",
-    )
+    solved = stage(solved.select(F.col("source").alias("t_source"), "source_size", "target", "theta", "typical"), "mix-solved")
     units = stage(sizes.groupBy("id", "source", "size").agg(F.count(F.lit(1)).alias("rows")), "mix-units")
     tilt = F.exp(F.col("theta") * F.try_divide("size", "typical"))
-    rated = units.join(solved, F.col("source").eqNullSafe(F.col("t_source"))).select(
-        "source", "source_size", "target", "size", "id", "rows",
+    bins = units.groupBy("source", "size", "rows").agg(F.count(F.lit(1)).alias("n")).join(
+        solved, F.col("source").eqNullSafe(F.col("t_source"))
+    ).select(
+        "source", "source_size", "target", "size", "rows", "n", (F.col("size") * F.col("rows")).alias("words"),
         F.when(F.col("size") > 0, F.least(F.lit(float(most)), tilt)).otherwise(1.0).alias("rate"),
-        F.pmod(F.xxhash64("id", "size"), F.col("blocks")).alias("block"),
     )
-    # Hashing keeps a block near BLOCK_ROWS rows, whatever the source.
-    blocks = rated.groupBy("source", "block").agg(
-        F.first("source_size").alias("source_size"), F.first("target").alias("target"),
-        F.sort_array(F.collect_list(F.struct((F.col("size") * F.col("rows")).alias("words"), "id", "size", "rows", "rate")), False)
-        .alias("units"),
+    return dealt(units, whole_copies(stage(bins, "mix-bins"), most))
+
+
+def whole_copies(bins: DataFrame, most: int = 3) -> DataFrame:
+    """``bins`` (source, size, rows, n units of so many words each, rate, target) with the ``total`` copies of its units."""
+    source = Window.partitionBy("source")
+    falling = source.orderBy(F.desc("words"), "size").rowsBetween(Window.unboundedPreceding, 0)
+    rising = source.orderBy("words", "size").rowsBetween(Window.unboundedPreceding, 0)
+
+    def steps(rate: Column, member: Column) -> Column:
+        # Decimals, so that sums are exact.
+        quota = F.when(member, F.round(F.col("n") * rate, 9)).otherwise(0.0).cast("decimal(28,9)")
+        upto = F.sum(quota).over(falling)
+        half = F.lit("0.5").cast("decimal(2,1)")
+        return (F.floor(upto + half) - F.floor(upto - quota + half)).cast("long")
+
+    weight = F.col("n") * F.col("words")
+    rooms = {"more": weight * (most - F.col("rate")), "less": weight * F.col("rate")}
+    state = stage(bins.withColumn("total", steps(F.col("rate"), F.lit(True))), "mix-total")
+    for _ in range(PASSES):
+        passed = state.withColumn("taken", F.sum(F.col("total") * F.col("words")).over(source))
+        passed = passed.withColumn("due", F.col("target") - F.col("taken"))
+        room = F.when(F.col("due") > 0, rooms["more"]).otherwise(rooms["less"])
+        passed = passed.withColumn("before", F.sum(room).over(rising) - room)
+        size = F.abs("due")
+        # A unit of more than twice the words due can only make it worse.
+        passed = passed.withColumn("member", (F.col("words") > 0) & (F.col("words") <= 2 * size) & (F.col("before") < 10 * size))
+        passed = passed.withColumns({
+            "had": F.sum(F.when(F.col("member"), F.col("total") * F.col("words")).otherwise(0)).over(source),
+            "expected": F.sum(F.when(F.col("member"), weight * F.col("rate")).otherwise(0.0)).over(source),
+            **{k: F.sum(F.when(F.col("member"), r).otherwise(0.0)).over(source) for k, r in rooms.items()},
+        })
+        passed = passed.withColumn("change", F.col("due") + F.col("had") - F.col("expected"))
+        share = {k: F.least(F.lit(1.0), F.coalesce(F.try_divide(F.abs("change"), k), F.lit(0.0))) for k in rooms}
+        moved = F.when(F.col("change") > 0, F.col("rate") + share["more"] * (most - F.col("rate"))) \
+            .otherwise(F.col("rate") * (1 - share["less"]))
+        passed = passed.withColumn("anew", steps(moved, F.col("member")))
+        left = F.col("due") + F.col("had") - F.sum(F.col("anew") * F.col("words")).over(source)
+        passed = passed.withColumn("nearer", F.abs(left) < F.abs("due"))
+        state = stage(
+            passed.withColumn("total", F.when(F.col("nearer") & F.col("member"), F.col("anew")).otherwise(F.col("total")))
+            .select(*bins.columns, "total", "nearer"),
+            "mix-total",
+        )
+        if state.where("nearer").isEmpty():
+            break
+        state = state.drop("nearer")
+    return state.drop("nearer")
+
+
+def dealt(units: DataFrame, bins: DataFrame) -> DataFrame:
+    """``units`` with their copies: the total of a bin, dealt evenly in hashed order."""
+    names = {"source": "b_source", "size": "b_size", "rows": "b_rows"}
+    blocks = F.ceil(F.col("n") / BLOCK_ROWS)
+    found = stage(
+        units.join(
+            bins.withColumnsRenamed(names),
+            F.col("source").eqNullSafe(F.col("b_source")) & (F.col("size") == F.col("b_size")) & (F.col("rows") == F.col("b_rows")),
+        ).drop(*names.values()).withColumn("block", F.pmod(F.xxhash64("id", "size"), blocks)),
+        "mix-found",
     )
-    rounded = blocks.withColumn("copies", F.expr(f"""
-        aggregate(units, named_struct('due', 0D, 'copies', cast(array() AS array<int>)),
-          (a, u) -> named_struct(
-            'due', a.due + u.rate * u.words - u.words
-              * if(u.words = 0, 1, greatest(0, least({most}, cast(round((a.due + u.rate * u.words) / nullif(u.words, 0)) AS int)))),
-            'copies', concat(a.copies, array(
-              if(u.words = 0, 1, greatest(0, least({most}, cast(round((a.due + u.rate * u.words) / nullif(u.words, 0)) AS int)))))))
-        ).copies"""))
-    return (
-        rounded.select("source", "source_size", "target", F.explode(F.arrays_zip("units", "copies")).alias("x"))
-        .select("x.units.id", "source", "x.units.size", "x.units.rows", "source_size", "target", "x.units.rate", "x.copies")
+    keys = ("source", "size", "rows", "block")
+    counts = found.groupBy(*keys).agg(F.count(F.lit(1)).alias("here"))
+    prefix = Window.partitionBy("source", "size", "rows").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    starts = stage(counts.select(*[F.col(k).alias(f"p_{k}") for k in keys], (F.sum("here").over(prefix) - F.col("here")).alias("start")), "mix-starts")
+    order = Window.partitionBy(*keys).orderBy(F.xxhash64("size", "id"), "id")
+    placed = found.withColumn("place", F.row_number().over(order)).join(
+        starts,
+        F.col("source").eqNullSafe(F.col("p_source")) & (F.col("size") == F.col("p_size")) & (F.col("rows") == F.col("p_rows"))
+        & (F.col("block") == F.col("p_block")),
+    ).withColumn("place", F.col("place") + F.col("start"))
+    copies = F.expr("cast((place * total) div n - ((place - 1) * total) div n AS int)")
+    return placed.select(
+        "id", "source", "size", "rows", "source_size", "target", "rate",
+        F.when(F.col("size") > 0, copies).otherwise(1).cast("int").alias("copies"),
     )
 
 

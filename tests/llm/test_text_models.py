@@ -136,6 +136,25 @@ def test_mixing_rates_meet_targets_before_rounding(spark, docs):
         assert (rate * mine).sum() == pytest.approx(r["target"], rel=1e-6)
 
 
+def test_mixing_with_very_long_documents(spark, docs):
+    """One document in a hundred is very long; a source meets its target by a few words, whatever its share."""
+    rng = random.Random(4)
+    lengths = {"a": [rng.randint(5, 40) for _ in range(3960)] + [50_000] * 40, "b": [rng.randint(5, 200) for _ in range(3000)]}
+    frame = spark.createDataFrame(
+        [(i, "w " * n, s) for s in lengths for i, n in enumerate(lengths[s])], "doc_id long, text string, source string").repartition(4).cache()
+    size = {s: sum(v) for s, v in lengths.items()}
+    for share in (0.7, 0.8, 0.9, 1.1):
+        first = share * size["a"]
+        mixed = mixing.mix(frame, weights=(first, sum(size.values()) - first)).collect()
+        assert len(mixed) == 7000 and all(0 <= r["copies"] <= 3 for r in mixed)
+        for s in size:
+            mine = [r for r in mixed if r["source"] == s]
+            assert abs(sum(r["size"] * r["copies"] for r in mine) - mine[0]["target"]) <= 20
+            long_ones = [r for r in mine if r["size"] == 50_000]
+            assert abs(sum(r["copies"] - r["rate"] for r in long_ones)) <= 1
+    frame.unpersist()
+
+
 def test_mixing_repeated_rows(spark, docs):
     frame = spark.createDataFrame([(1, "a a a", "x")] * 3 + [(2, None, None), (None, "b", "x")], "doc_id long, text string, source string")
     mixed = mixing.mix(frame)
