@@ -1,7 +1,7 @@
 """Model queries and, for each, a summary with a DuckDB twin.
 
-Queries that fit one model use the presets unchanged. Those that fit many (folds, slices, trials) use MANY_FITS rounds
-per model, as the README says: a round costs some seconds of small jobs whatever the data.
+All queries use the presets unchanged, also those that fit many models (folds, slices, trials). A round is a few small
+jobs whatever the data, so these take long; the README has the times that were measured.
 """
 
 from __future__ import annotations
@@ -16,9 +16,8 @@ from clickloom.operators.indexing import equal_folds
 from clickloom.operators.models import (
     CATEGORICAL, FIRST_LIBRARY, LEAF_TREES, PREDICT_TEXT, PROPERTY_TEXT, SECOND_LIBRARY, feature_columns,
     fit_boosted, fit_with_validation, importances, joint_one_hot, model_input, score, text_score, top_features,
-    with_rounds,
 )
-from clickloom.plans.feature_table import TEXT_SCORES, feature_table, text_score_table
+from clickloom.plans.feature_table import DEFAULT_TEXT_MODELS, TEXT_SCORES, feature_table, text_score_table
 from clickloom.plans.search import Tuner
 from clickloom.plans.stacking import (
     cross_fed_stack, full_train_score, holdout_loss, leaf_holdout_losses, leaf_logistic, leaf_table, out_of_fold,
@@ -26,13 +25,6 @@ from clickloom.plans.stacking import (
 from clickloom.sources import stage, table
 from oracle.click_log import with_slices
 
-MANY_FITS = 8
-FIRST_OF_MANY, SECOND_OF_MANY = with_rounds(FIRST_LIBRARY, MANY_FITS), with_rounds(SECOND_LIBRARY, MANY_FITS)
-TEXT_OF_MANY = {
-    "item_property_list": with_rounds(PROPERTY_TEXT, MANY_FITS),
-    "predict_category_property": with_rounds(PREDICT_TEXT, MANY_FITS),
-}
-
 
 def model_frame(spark, sf) -> tuple[DataFrame, DataFrame, list[str]]:
     """(train and validation rows, test rows, features): raw levels and three smoothed rates."""
@@ -47,14 +39,14 @@ def model_frame(spark, sf) -> tuple[DataFrame, DataFrame, list[str]]:
 def m2(spark, sf):
     labels, history = sliced(spark, sf, ["item_property_list"])
     return text_score_table(labels, history, SLICES, "item_property_list", "property_prob",
-                            TEXT_OF_MANY["item_property_list"], ("slice", "instance_id"))
+                            PROPERTY_TEXT, ("slice", "instance_id"))
 
 
 @query("m3_predict_text_score")
 def m3(spark, sf):
     labels, history = sliced(spark, sf, ["predict_category_property"])
     return text_score_table(labels, history, SLICES, "predict_category_property", "predict_prob",
-                            TEXT_OF_MANY["predict_category_property"], ("slice", "instance_id"))
+                            PREDICT_TEXT, ("slice", "instance_id"))
 
 
 @query("m2_document_text_score")
@@ -64,7 +56,7 @@ def m2_documents(spark, sf):
     labels = table(spark, sf, "labels").select("doc_id", "quality")
     labelled = documents.join(labels, "doc_id")
     other = documents.join(labels, "doc_id", "left_anti")
-    return text_score(labelled, other, "text", "quality_prob", TEXT_OF_MANY["item_property_list"],
+    return text_score(labelled, other, "text", "quality_prob", PROPERTY_TEXT,
                       keep=("doc_id",), label="quality")
 
 
@@ -72,7 +64,7 @@ def m2_documents(spark, sf):
 def m5(spark, sf):
     """Ten folds of equal size; every row is scored by a model that has not seen its fold."""
     train, _, features = model_frame(spark, sf)
-    return out_of_fold(equal_folds(train), features, FIRST_OF_MANY)
+    return out_of_fold(equal_folds(train), features, FIRST_LIBRARY)
 
 
 @query("m6_m9_full_train_scores")
@@ -99,7 +91,7 @@ def m8(spark, sf):
 @query("m10_cross_fed_stack")
 def m10(spark, sf):
     train, test, features = model_frame(spark, sf)
-    stacked = cross_fed_stack(equal_folds(train), test, features, FIRST_OF_MANY, SECOND_OF_MANY)
+    stacked = cross_fed_stack(equal_folds(train), test, features, FIRST_LIBRARY, SECOND_LIBRARY)
     first, second = (df.withColumnRenamed("predicted_score", name) for name, df in stacked.items())
     return first.join(second, "instance_id")
 
@@ -156,13 +148,13 @@ def t5(spark, sf):
     """Scores from the five most important features, raw ids dropped from the start."""
     train, test, _ = model_frame(spark, sf)
     features = feature_columns(train, drop=("item_id", "shop_id", "context_id"))
-    best = top_features(fit_boosted(train, features, SECOND_OF_MANY), features, 5)
-    return full_train_score(train, test, best, SECOND_OF_MANY)
+    best = top_features(fit_boosted(train, features, SECOND_LIBRARY), features, 5)
+    return full_train_score(train, test, best, SECOND_LIBRARY)
 
 
 def tuner() -> Tuner:
     space = {"maxDepth": range(2, 4), "stepSize": [0.1, 0.3], "featureSubsetStrategy": ["all", "sqrt"]}
-    return Tuner.by_log_loss(GBTClassifier(maxIter=MANY_FITS, seed=0), space, n_folds=3)
+    return Tuner.by_log_loss(GBTClassifier(maxIter=FIRST_LIBRARY.maxIter, seed=0), space, n_folds=3)
 
 
 def tuning_data(spark, sf) -> DataFrame:
@@ -184,7 +176,7 @@ def m20(spark, sf):
 @query("e2_feature_table_with_text")
 def e2(spark, sf):
     """The whole feature path: counts, rates, positions, re-clicks and both text scores."""
-    return feature_table(stage(prepared(spark, sf, SLICES_END), "log"), SLICES, text_models=TEXT_OF_MANY)
+    return feature_table(stage(prepared(spark, sf, SLICES_END), "log"), SLICES, text_models=DEFAULT_TEXT_MODELS)
 
 
 @query("m6_full_table_scores")
@@ -192,7 +184,7 @@ def m6_full_table(spark, sf):
     """One library fitted on the whole feature table, without exact copies and with gaps filled; the test slice scored."""
     whole = stage(e2(spark, sf), "full")
     features = feature_columns(whole)
-    return full_train_score(whole.filter("slice < 3"), whole.filter("slice = 3"), features, FIRST_OF_MANY)
+    return full_train_score(whole.filter("slice < 3"), whole.filter("slice = 3"), features, FIRST_LIBRARY)
 
 
 def companion(name: str, sql: str):
