@@ -11,7 +11,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog.registry import QUERIES, RATES, SLICES, SLICES_END, family_table, prepared, query, sliced
+from catalog.registry import QUERIES, SLICES, SLICES_END, prepared, query, sliced
 from clickloom.operators.indexing import equal_folds
 from clickloom.operators.models import (
     CATEGORICAL, FIRST_LIBRARY, LEAF_TREES, PREDICT_TEXT, PROPERTY_TEXT, SECOND_LIBRARY, feature_columns,
@@ -27,12 +27,9 @@ from oracle.click_log import with_slices
 
 
 def model_frame(spark, sf) -> tuple[DataFrame, DataFrame, list[str]]:
-    """(train and validation rows, test rows, features): raw levels and three smoothed rates."""
-    columns = [*RATES.keys, *CATEGORICAL, "hour"]
-    labels, history = sliced(spark, sf, columns)
-    carry = list(dict.fromkeys(["slice", "instance_id", "is_trade", *columns]))
-    frame = stage(family_table(labels, history, RATES, carry=carry), "model")
-    return frame.filter("slice < 3"), frame.filter("slice = 3"), feature_columns(frame)
+    """(train and validation rows, test rows, features): the whole feature table, without exact copies; fits fill gaps."""
+    whole = stage(e2(spark, sf), "model")
+    return whole.filter("slice < 3"), whole.filter("slice = 3"), feature_columns(whole)
 
 
 @query("m2_property_text_score")
@@ -182,9 +179,8 @@ def e2(spark, sf):
 @query("m6_full_table_scores")
 def m6_full_table(spark, sf):
     """One library fitted on the whole feature table, without exact copies and with gaps filled; the test slice scored."""
-    whole = stage(e2(spark, sf), "full")
-    features = feature_columns(whole)
-    return full_train_score(whole.filter("slice < 3"), whole.filter("slice = 3"), features, FIRST_LIBRARY)
+    train, test, features = model_frame(spark, sf)
+    return full_train_score(train, test, features, FIRST_LIBRARY)
 
 
 def companion(name: str, sql: str):

@@ -1,10 +1,12 @@
-"""Model queries fit with the presets as they are."""
+"""Model queries fit with the presets as they are, on the whole feature table."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from catalog import models
-from clickloom.operators.models import FIRST_LIBRARY, PREDICT_TEXT, PROPERTY_TEXT, SECOND_LIBRARY
+from clickloom.operators.models import FIRST_LIBRARY, PREDICT_TEXT, PROPERTY_TEXT, SECOND_LIBRARY, feature_columns
+from clickloom.plans import feature_table as feature_table_plan
+from clickloom.plans.feature_table import TEXT_SCORES
 
 
 @pytest.fixture()
@@ -32,3 +34,15 @@ def test_presets(spark, sf_dir, settings, fn, wanted):
 
 def test_search_has_the_rounds_of_the_preset():
     assert models.tuner().estimator.getMaxIter() == FIRST_LIBRARY.maxIter
+
+
+def test_models_see_the_whole_feature_table(spark, sf_dir, monkeypatch):
+    """Every feature of the table reaches the fits, in all slices. Text scores are stood in for: their fits take long."""
+    def constant(labels, history, slices, text, name, boosting, keep=("row_id",)):
+        return labels.select(*keep, F.lit(0.5).alias(name))
+
+    monkeypatch.setattr(feature_table_plan, "text_score_table", constant)
+    train, test, features = models.model_frame(spark, sf_dir)
+    table = feature_columns(models.e2(spark, sf_dir))
+    assert features == table and {*TEXT_SCORES.values(), "user_transfer_rate", "hour"} <= set(features) and len(features) > 100
+    assert train.count() + test.count() == models.sliced(spark, sf_dir, ["user_id"])[0].count()
