@@ -299,7 +299,7 @@ class Bpe:
         return decode(F.col(ids))
 
     def encoded(self, docs: DataFrame, keep: Sequence[str], text: str = "text") -> DataFrame:
-        """Columns ``keep``, n_tokens and ids of every row.
+        """Columns ``keep``, n_tokens, ids and the SHA-256 of the text decoded from the ids, of every row.
 
         Rows go through a worker a few at a time, and their ids leave as one buffer, so a worker's memory is bounded by
         a few texts and the remembered words.
@@ -315,10 +315,12 @@ class Bpe:
                     counts = np.array([len(ids) // 4 for ids in packed], np.int64)
                     offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
                     ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(packed), "<i4")))
-                    yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(counts), ids], [*keep, "n_tokens", "ids"])
+                    decoded = pa.array([hashlib.sha256(bpe.decode(one).encode("utf-8")).hexdigest() for one in packed], pa.string())
+                    columns = [*[part.column(c) for c in keep], pa.array(counts), ids, decoded]
+                    yield pa.RecordBatch.from_arrays(columns, [*keep, "n_tokens", "ids", "decoded_sha256"])
 
         types = ", ".join(f"`{c}` {kind}" for c, kind in docs.select(*keep).dtypes)
-        return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(encode, f"{types}, n_tokens long, ids array<int>")
+        return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(encode, f"{types}, n_tokens long, ids array<int>, decoded_sha256 string")
 
     def digests(self, text: str = "text") -> Column:
         """Struct of the number of ids and the hashes of ids and decoded text; ids and text stay in the worker."""

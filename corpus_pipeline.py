@@ -1,4 +1,5 @@
-"""The corpus pipeline: quality filter, near-dedup, repeat removal, source mixing and BPE encoding of the documents.
+"""The corpus pipeline: quality filter, near-dedup, repeat removal, source mixing and BPE encoding and decoding of the
+documents.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and reread as the docs of
 the next stage. All but the last return the columns of ``documents``.
@@ -36,7 +37,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document; documents without a text have none."""
+    """Token ids of each document and the SHA-256 of what they decode to; documents without a text have no ids."""
     return bpe.Bpe(vocabulary()).encoded(docs, ("doc_id", "source"))
 
 

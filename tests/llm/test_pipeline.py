@@ -1,5 +1,7 @@
 """The pipeline's stages, each judged on its own input."""
 
+import hashlib
+
 import brute
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +77,15 @@ def test_encoding_decodes(steps):
         assert r["ids"] == tokenizer.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids and r["n_tokens"] == len(r["ids"])
 
 
+def test_ids_are_decoded_in_the_stage(steps):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary())
+    for r in steps[5].collect():
+        decoded = tokenizer.decode(r["ids"], skip_special_tokens=False)
+        assert r["decoded_sha256"] == hashlib.sha256(decoded.encode("utf-8")).hexdigest()
+
+
 def test_empty_documents(spark, steps):
     docs = steps[0].limit(0)
     for _, function in corpus_pipeline.STAGES:
