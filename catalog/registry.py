@@ -11,7 +11,7 @@ from clickloom.operators.features import Conversion, Family, family_table
 from clickloom.plans import specs
 from clickloom.plans.prepare import prepare_log
 from clickloom.plans.slices import history_rows, label_rows, month_slices
-from clickloom.session import tune
+from clickloom.session import ship, tune
 from clickloom.sources import click_log, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None):
         assert name not in QUERIES, name
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(tune(spark), sf_dir)
+            return fn(ship(tune(spark)), sf_dir)
 
         run.__name__ = name
         QUERIES[name] = run

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from clickloom.operators.indexing import Dictionary, encode, fit_dictionary
-from clickloom.operators.text import fit_tfidf, tokens_of
+from clickloom.operators.text import fit_tfidf, occupied_places, tokens_of
 from clickloom.sources.stage import shared_folder, spread, stage
 
 LABEL, ID, SCORE = "is_trade", "instance_id", "predicted_score"
@@ -49,9 +49,14 @@ class Boosting:
 # The two library settings of the first stacking level, and the three special-purpose ones.
 FIRST_LIBRARY = Boosting()
 SECOND_LIBRARY = Boosting(maxDepth=5, subsamplingRate=0.8, featureSubsetStrategy="0.3", seed=1)
+# The same settings in a fifth of the rounds of five times the rate, for plans that fit many models.
+FIRST_MANY = replace(FIRST_LIBRARY, maxIter=24, stepSize=0.5)
+SECOND_MANY = replace(SECOND_LIBRARY, maxIter=24, stepSize=0.5)
 LEAF_TREES = Boosting(maxIter=13, maxDepth=3, stepSize=0.01, subsamplingRate=1.0, featureSubsetStrategy="all")
 PROPERTY_TEXT = Boosting(maxIter=200, stepSize=0.2, subsamplingRate=0.8, featureSubsetStrategy="all")
 PREDICT_TEXT = Boosting(maxIter=200, subsamplingRate=0.8, featureSubsetStrategy="0.3", seed=2018)
+PROPERTY_TEXT_MANY = replace(PROPERTY_TEXT, maxIter=40, stepSize=1.0)
+PREDICT_TEXT_MANY = replace(PREDICT_TEXT, maxIter=40, stepSize=0.5)
 
 
 def positive(probability: str = "probability") -> Column:
@@ -114,13 +119,16 @@ def text_score(
 ) -> DataFrame:
     """Conversion probability of a text: trees fitted on the history, applied to the label rows.
 
-    The idf comes from both tables, labels only from the history; ``width`` is that of the hashed vectors.
+    The idf comes from both tables, labels only from the history; ``width`` is that of the hashed vectors. The trees see
+    the places that some history text occupies: no other can split, so with all features in every tree the model is the
+    one of the full width, and a share of the features is a share of those that occur.
     """
     tokens = tokens_of(text).alias("_tokens")
     # Texts are split once; the passes of the vectoriser and of the trees read the stored tokens.
     past = stage(spread(history.select(text, F.col(label).cast("double").alias("label"))).select(tokens, "label"), "text")
     now = stage(spread(label_rows.select(*keep, text)).select(*keep, tokens), "text")
-    vectors = fit_tfidf(past.select("_tokens").unionAll(now.select("_tokens")), "_tokens", "features", width)
+    places = occupied_places(past, "_tokens", width)
+    vectors = fit_tfidf(past.select("_tokens").unionAll(now.select("_tokens")), "_tokens", "features", width, places)
     shared_folder(history.sparkSession)
     trees = boosting.classifier().fit(vectors.transform(past).select("features", "label"))
     return trees.transform(vectors.transform(now)).select(*keep, positive().alias(name))
@@ -202,14 +210,18 @@ def one_hot_leaves(
     return [assembler.transform(encoder.transform(spread(f))).drop(*drop) for f in frames]
 
 
+def l1_penalty(df: DataFrame, c: float = 3.0) -> float:
+    """``c`` weighs the summed loss, Spark's penalty weighs the mean loss."""
+    return 1.0 / (c * max(df.count(), 1))
+
+
 def fit_l1_logistic(
-    df: DataFrame, vectors: Sequence[str], c: float = 3.0, max_iter: int = 100
+    df: DataFrame, vectors: Sequence[str], c: float = 3.0, max_iter: int = 100, tolerance: float = 1e-6
 ) -> PipelineModel:
-    """L1 logistic regression; ``c`` weighs the summed loss, Spark's penalty weighs the mean loss."""
-    n = df.count()
+    """L1 logistic regression with all weights on the driver; ``sparse_logistic`` has the one that keeps them in a table."""
     logistic = LogisticRegression(
-        featuresCol="inputs", labelCol="label", elasticNetParam=1.0, regParam=1.0 / (c * max(n, 1)),
-        standardization=False, maxIter=max_iter,
+        featuresCol="inputs", labelCol="label", elasticNetParam=1.0, regParam=l1_penalty(df, c),
+        standardization=False, maxIter=max_iter, tol=tolerance,
     )
     assembler = VectorAssembler(inputCols=list(vectors), outputCol="inputs")
     labelled = df.withColumn("label", F.col(LABEL).cast("double"))

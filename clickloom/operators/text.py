@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import IDF, ElementwiseProduct, HashingTF, Normalizer
+from pyspark.ml.feature import IDF, ElementwiseProduct, HashingTF, Normalizer, VectorSlicer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,18 +53,42 @@ def tfidf_table(docs: DataFrame, text: str, ids: Sequence[str], broadcast_bytes:
     return raw.select(*ids, "term", "tf", "df", (F.col("raw") / norm).alias("weight"))
 
 
-def fit_tfidf(docs: DataFrame, tokens: str, output: str = "text_vector", width: int = 1 << 14) -> PipelineModel:
+def fit_tfidf(
+    docs: DataFrame, tokens: str, output: str = "text_vector", width: int = 1 << 14, places: DataFrame | None = None
+) -> PipelineModel:
     """Vectors of token arrays: every term is hashed to one of ``width`` places, whatever the size of the vocabulary.
 
     Terms that share a place add up. The width is a parameter and never follows from the data. The IDF stage lacks the
     ``+ 1`` of the smooth idf; since ``tf * (idf + 1)`` is an elementwise product with a fixed vector, the fitted
-    weights are folded into one ``ElementwiseProduct``.
+    weights are folded into one ``ElementwiseProduct``. With ``places`` (see ``occupied_places``) the unit-length
+    vectors are cut to these places in the end, place 0..n-1 being the n listed ones in ascending order.
     """
     tf = HashingTF(inputCol=tokens, outputCol="_tf", numFeatures=width)
     idf = IDF(inputCol="_tf", outputCol="_idf").fit(tf.transform(docs)).idf
     weights = Vectors.dense(idf.toArray() + 1.0)
-    return PipelineModel(stages=[
+    stages = [
         tf,
         ElementwiseProduct(scalingVec=weights, inputCol="_tf", outputCol="_weighted"),
-        Normalizer(inputCol="_weighted", outputCol=output, p=2.0),
-    ])
+        Normalizer(inputCol="_weighted", outputCol=output if places is None else "_whole", p=2.0),
+    ]
+    if places is not None:
+        # At most ``width`` numbers. Without any term the first place stands in, where all vectors are 0.
+        listed = [r["place"] for r in places.orderBy("code").collect()]
+        stages.append(VectorSlicer(inputCol="_whole", outputCol=output, indices=listed or [0]))
+    return PipelineModel(stages=stages)
+
+
+def occupied_places(docs: DataFrame, tokens: str, width: int = 1 << 14) -> DataFrame:
+    """Stored map (place, code) of the hash places that any token of ``docs`` falls into, coded 0..n-1 in ascending order.
+
+    Trees can only split where their rows differ, so a place that is empty in all of them is a column to skip. Every
+    distinct term is hashed once; the table has at most ``width`` rows.
+    """
+    terms = docs.select(F.explode(tokens).alias("term")).distinct().select(F.array("term").alias("_term"))
+    hashed = HashingTF(inputCol="_term", outputCol="_place", numFeatures=width).transform(terms)
+    # A vector shows its places in its JSON form only.
+    listed = F.from_json(F.to_json(F.struct("_place")), "_place struct<indices array<int>>")["_place"]["indices"]
+    places = hashed.select(F.explode(listed).alias("place")).distinct()
+    # A window over at most ``width`` rows.
+    code = F.row_number().over(Window.orderBy("place")) - 1
+    return stage(places.select("place", code.alias("code")), "places")

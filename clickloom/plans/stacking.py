@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,9 +14,10 @@ from pyspark.sql import functions as F
 from clickloom.operators.indexing import hash_folds, holdout
 from clickloom.operators.models import (
     CATEGORICAL, FIRST_LIBRARY, ID, LABEL, LEAF_TREES, SCORE, SECOND_LIBRARY, Boosting, fit_boosted,
-    fit_l1_logistic, fit_leaf_embedding, joint_one_hot, model_input, one_hot_leaves, score,
+    fit_l1_logistic, fit_leaf_embedding, joint_one_hot, l1_penalty, model_input, one_hot_leaves, score,
 )
 from clickloom.operators.scores import log_loss
+from clickloom.operators.sparse_logistic import SparseLogistic, cells_of, optimality
 from clickloom.sources.stage import stage
 
 
@@ -85,22 +88,50 @@ def cross_fed_stack(
     return out
 
 
-def leaf_logistic(
+@dataclass(frozen=True)
+class LeafLogistic:
+    """L1 logistic regression on one-hot tree leaves, with the vectors that it was fitted on and those to score."""
+
+    model: PipelineModel
+    train: DataFrame
+    test: DataFrame
+    vectors: tuple[str, ...]
+
+    def scored(self, rows: DataFrame, keep: Sequence[str] = (ID,)) -> DataFrame:
+        return self.model.transform(rows.select(*dict.fromkeys([*keep, *self.vectors]))).select(
+            *keep, vector_to_array(F.col("probability"))[1].alias(SCORE))
+
+    def certificate(self, c: float = 3.0) -> DataFrame:
+        """(place, weight, gradient, residual, penalty): how far every place is from the optimality condition."""
+        rows = self.train.withColumn("row", F.monotonically_increasing_id())
+        rows = stage(rows.select("row", F.col(LABEL).cast("double").alias("label"), *self.vectors), "certificate")
+        found, penalty = self.model.stages[-1], l1_penalty(self.train, c)
+        # The non-zero weights of a model that lies on the driver anyway.
+        some = [(int(i), float(found.coefficients[int(i)])) for i in found.coefficients.toArray().nonzero()[0]]
+        weights = self.train.sparkSession.createDataFrame(some, "place long, weight double")
+        fit = SparseLogistic(weights, float(found.intercept), penalty, 0, 0.0)
+        return optimality(rows, cells_of(rows, "row", *self.vectors), fit).withColumn("penalty", F.lit(penalty))
+
+
+def fit_leaf_logistic(
     train: DataFrame, test: DataFrame, features: Sequence[str], categorical: Sequence[str] = CATEGORICAL,
-    boosting: Boosting = LEAF_TREES, c: float = 3.0, max_iter: int = 100, with_categories: bool = True,
-) -> DataFrame:
-    """L1 logistic regression on one-hot tree leaves, by default next to one-hot categories: (id, score)."""
+    boosting: Boosting = LEAF_TREES, c: float = 3.0, max_iter: int = 100, with_categories: bool = True, tolerance: float = 1e-6,
+) -> LeafLogistic:
+    """Leaves of the trees, by default next to one-hot categories coded over both frames, and the regression on them."""
     vectors = ["leaf_one_hot"]
-    model = fit_leaf_embedding(train, features, boosting)
-    train, test = one_hot_leaves(model, [train, test], features)
+    trees = fit_leaf_embedding(train, features, boosting)
+    train, test = one_hot_leaves(trees, [train, test], features)
     if with_categories:
         (train, test), _ = joint_one_hot(train, test, columns=categorical)
         vectors.append("one_hot")
     train = stage(train.select(ID, LABEL, *vectors), "leaves")
-    logistic = fit_l1_logistic(train, vectors, c, max_iter)
-    return logistic.transform(test.select(ID, *vectors)).select(
-        ID, vector_to_array(F.col("probability"))[1].alias(SCORE)
-    )
+    return LeafLogistic(fit_l1_logistic(train, vectors, c, max_iter, tolerance), train, test, tuple(vectors))
+
+
+def leaf_logistic(train: DataFrame, test: DataFrame, features: Sequence[str], *args, **options) -> DataFrame:
+    """Scores of the test rows by ``fit_leaf_logistic``: (id, score)."""
+    fitted = fit_leaf_logistic(train, test, features, *args, **options)
+    return fitted.scored(fitted.test)
 
 
 def leaf_holdout_losses(

@@ -1,48 +1,44 @@
-"""Model queries fit with the presets as they are, on the whole feature table."""
+"""Settings that the model queries fit with, and the table that they fit on."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from catalog import models
-from clickloom.operators.models import FIRST_LIBRARY, PREDICT_TEXT, PROPERTY_TEXT, SECOND_LIBRARY, feature_columns
+from clickloom.operators.models import (
+    FIRST_LIBRARY, FIRST_MANY, PREDICT_TEXT, PREDICT_TEXT_MANY, PROPERTY_TEXT, PROPERTY_TEXT_MANY, SECOND_LIBRARY,
+    SECOND_MANY, feature_columns,
+)
 from clickloom.plans import feature_table as feature_table_plan
 from clickloom.plans.feature_table import TEXT_SCORES
 
 
-@pytest.fixture()
-def settings(monkeypatch):
-    """The boosting settings that a query hands to its fits, none of which is run."""
-    seen = []
-    fits = {"text_score": 4, "text_score_table": 5, "fit_boosted": 2, "full_train_score": 3, "out_of_fold": 2}
-    for name, place in fits.items():
-        monkeypatch.setattr(models, name, lambda *a, _at=place, **k: seen.append(a[_at]))
-    monkeypatch.setattr(models, "cross_fed_stack", lambda *a, **k: seen.extend(a[3:5]) or {})
-    monkeypatch.setattr(models, "feature_table", lambda *a, text_models, **k: seen.extend(text_models.values()) or a[0].withColumn("slice", F.lit(1)))
-    monkeypatch.setattr(models, "top_features", lambda *a: ["hour"])
-    return seen
+@pytest.mark.parametrize("many, preset", [
+    (FIRST_MANY, FIRST_LIBRARY), (SECOND_MANY, SECOND_LIBRARY), (PROPERTY_TEXT_MANY, PROPERTY_TEXT), (PREDICT_TEXT_MANY, PREDICT_TEXT),
+])
+def test_short_settings_keep_rounds_times_rate(many, preset):
+    assert many.maxIter * many.stepSize == pytest.approx(preset.maxIter * preset.stepSize)
+    assert (many.maxDepth, many.subsamplingRate, many.featureSubsetStrategy) == (preset.maxDepth, preset.subsamplingRate, preset.featureSubsetStrategy)
 
 
-@pytest.mark.parametrize("fn, wanted", [
-    (models.m2, [PROPERTY_TEXT]), (models.m3, [PREDICT_TEXT]), (models.m2_documents, [PROPERTY_TEXT]),
-    (models.e2, [PROPERTY_TEXT, PREDICT_TEXT]), (models.t5, [SECOND_LIBRARY] * 2),
-    (models.m6_full_table, [PROPERTY_TEXT, PREDICT_TEXT, FIRST_LIBRARY]), (models.m5, [FIRST_LIBRARY]),
-])
-def test_presets(spark, sf_dir, settings, fn, wanted):
-    fn(spark, sf_dir)
-    assert settings[-len(wanted):] == wanted
+def test_search_has_the_rounds_of_the_short_setting():
+    assert models.tuner().estimator.getMaxIter() == FIRST_MANY.maxIter
 
 
-def test_search_has_the_rounds_of_the_preset():
-    assert models.tuner().estimator.getMaxIter() == FIRST_LIBRARY.maxIter
+def test_models_share_one_whole_feature_table(spark, sf_dir, monkeypatch, tmp_path):
+    """Every feature of the table reaches the fits, in all slices, and the table is built once. Text scores are stood in
+    for: their fits take long."""
+    from clickloom.sources import store
 
+    built = []
 
-def test_models_see_the_whole_feature_table(spark, sf_dir, monkeypatch):
-    """Every feature of the table reaches the fits, in all slices. Text scores are stood in for: their fits take long."""
     def constant(labels, history, slices, text, name, boosting, keep=("row_id",)):
+        built.append(text)
         return labels.select(*keep, F.lit(0.5).alias(name))
 
+    monkeypatch.setattr(store, "store_folder", lambda spark: str(tmp_path))
     monkeypatch.setattr(feature_table_plan, "text_score_table", constant)
     train, test, features = models.model_frame(spark, sf_dir)
-    table = feature_columns(models.e2(spark, sf_dir))
-    assert features == table and {*TEXT_SCORES.values(), "user_transfer_rate", "hour"} <= set(features) and len(features) > 100
+    again = models.whole_table(spark, sf_dir)
+    assert sorted(built) == sorted(TEXT_SCORES) and again.inputFiles() == models.whole_table(spark, sf_dir).inputFiles()
+    assert features == feature_columns(again) and {*TEXT_SCORES.values(), "user_transfer_rate", "hour"} <= set(features) and len(features) > 100
     assert train.count() + test.count() == models.sliced(spark, sf_dir, ["user_id"])[0].count()
