@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
-    bpe, embedding_dedup, fingerprint, language, minhash, mixing, quality, substring_dedup, suffix_dedup, twins,
-    url_filter,
+    bpe, embedding_dedup, fingerprint, language, lexical_search, minhash, mixing, packing, quality, spelling, substring_dedup,
+    suffix_dedup, twins, url_filter,
 )
 from clickloom.llm.common import fold_of, table
 
@@ -20,6 +20,7 @@ TWINS = {
     "op8_substring_dedup": twins.WORD_WINDOWS,
     "op9_minhash_dedup": twins.MINHASH,
     "op10_suffix_array_dedup": twins.BYTE_WINDOWS,
+    "op11_lexical_search": twins.LEXICAL_SEARCH,
 }
 
 
@@ -37,6 +38,12 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 @query
 def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number and hashes of the token ids, and hash of the decoded text, of every whole text."""
@@ -119,3 +126,24 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes left of every whole text once strings of 100 bytes that start earlier too are gone."""
     return suffix_dedup.digests(table(spark, sf_dir, "documents"), 100).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    found = lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, root and number of near words of every word of the documents."""
+    return spelling.variant_groups(table(spark, sf_dir, "documents"), least=7, occurrences=2, factor=10, noise=31)
+
+
+@query
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 2,048 tokens."""
+    pieces = packing.Packer(byte_vocabulary(), 2048).pieces(table(spark, sf_dir, "documents"))
+    return pieces.select(
+        F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
