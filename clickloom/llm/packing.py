@@ -49,18 +49,29 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.memory: dict[str, bytes | None] = {}
+        self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.memory: dict[str, bytes | None] = {"": None}
         self.size = 0
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def lines(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks without line breaks or white space at their ends, encoded as the lines of one text: no token runs
+        over a line break that stands alone."""
+        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(chunks)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.flatnonzero(ids == self.newline[0])
+        if len(self.newline) != 1 or len(cuts) != len(chunks) - 1:
+            return self.whole(chunks)
+        data, ends = ids.tobytes(), [*(4 * cuts).tolist(), 4 * len(ids)]
+        return [data[a:b] for a, b in zip([0, *(end + 4 for end in ends)], ends, strict=False)]
+
     def learn(self, chunks: set[str]) -> None:
         """Remember chunks (each with its leading space). A word with one mark behind it is put together from the two."""
         plain: set[str] = set()
         marked: list[str] = []
         for chunk in chunks:
-            body = chunk[1:]
+            body = chunk[1:] if chunk[0] == " " else chunk
             if not body or body[0].isspace() or body[-1].isspace():
                 self.memory[chunk] = None
             elif body[-1] in ",.;:!?" and body[:-1].isalpha() and max(body) < SETTLED:
@@ -69,37 +80,34 @@ class Encoder:
             else:
                 plain.add(chunk)
         fresh = [c for c in plain if c not in self.memory]
-        for start in range(0, len(fresh), 1 << 14):
-            part = fresh[start : start + (1 << 14)]
-            self.memory.update(zip(part, self.whole(part), strict=True))
+        broken = [c for c in fresh if "\n" in c]
+        simple = [c for c in fresh if "\n" not in c] if broken else fresh
+        if broken:
+            self.memory.update(zip(broken, self.whole(broken), strict=True))
+        for start in range(0, len(simple), 1 << 12):
+            part = simple[start : start + (1 << 12)]
+            self.memory.update(zip(part, self.lines(part), strict=True))
         for chunk in marked:
             self.memory[chunk] = self.memory[chunk[:-1]] + self.memory[chunk[-1]]
         self.size += sum(ENTRY_BYTES + 5 * len(c) for c in fresh) + sum(ENTRY_BYTES + 5 * len(c) for c in marked)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed little-endian unsigned 32-bit ids of every text."""
+        if self.size > MEMORY_BYTES:
+            self.memory = {"": None}
+            self.size = 0
+        # The first chunk of a text has no space before it.
+        split = [t.replace(" ", "\0 ").split("\0") if t and "\0" not in t else [""] for t in texts]
+        unknown = set().union(*split).difference(self.memory)
+        if unknown:
+            self.learn(unknown)
         out: list[bytes] = []
-        for text in texts:
-            if not text:
-                out.append(b"")
-                continue
-            chunks = (" " + text).replace(" ", "\0 ").split("\0")[1:] if "\0" not in text else None
-            if chunks is None:
-                out += self.whole([text])
-                continue
-            head = chunks[0][1:]  # the text's first chunk has no space before it
-            rest = chunks[1:]
-            if self.size > MEMORY_BYTES:
-                self.memory.clear()
-                self.size = 0
-            unknown = {c for c in rest if c not in self.memory}
-            if unknown:
-                self.learn(unknown)
-            ids = [self.memory[c] for c in rest]
-            if None in ids or not head or head[-1].isspace():
-                out += self.whole([text])
+        for text, chunks in zip(texts, split, strict=True):
+            ids = list(map(self.memory.__getitem__, chunks))
+            if None not in ids:
+                out.append(b"".join(ids))
             else:
-                out.append(self.whole([head])[0] + b"".join(ids))
+                out.append(self.whole([text])[0] if text else b"")
         return out
 
 
