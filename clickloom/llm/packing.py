@@ -27,7 +27,7 @@ from clickloom.sources.stage import stage
 
 PLACES, DIMENSIONS, BITS = 4096, 4, 10
 # Bytes of remembered chunks and their ids in a Python worker; a full memory is emptied.
-MEMORY_BYTES = 96 << 20
+MEMORY_BYTES = 224 << 20
 ENTRY_BYTES = 160
 # Below it (Latin, Greek, Cyrillic) all versions of Unicode agree on what a letter is.
 SETTLED = "\u0500"
@@ -37,9 +37,9 @@ ROWS = 256
 class Encoder:
     """Ids of texts by the tokenizers library, each distinct chunk between single spaces encoded once.
 
-    The vocabulary's words begin with at most one space and never run over the border of a space that stands between two
-    characters that are no white space, so texts are cut there. A text with other white space next to a space is encoded
-    whole.
+    The vocabulary's words begin with at most one space and never run over the border of a space, or of a line break, that
+    stands between two characters that are no white space, so texts are cut there. A text with other white space next to a
+    space is encoded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -49,64 +49,84 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.memory: dict[str, bytes | None] = {"": None}
+        self.newline = self.whole(["\n"])[0]
+        self.forget()
+
+    def forget(self) -> None:
+        # Chunks with a space before them, and without; None for those that need their surroundings.
+        self.spaced: dict[str, bytes | None] = {"": None}
+        self.bare: dict[str, bytes | None] = {"": None}
         self.size = 0
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def lines(self, chunks: list[str]) -> list[bytes]:
-        """Ids of chunks without line breaks or white space at their ends, encoded as the lines of one text: no token runs
-        over a line break that stands alone."""
+        """Ids of chunks without line breaks or white space at their ends, encoded as the lines of one text."""
         ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(chunks)], add_special_tokens=False)[0].ids, "<u4")
-        cuts = np.flatnonzero(ids == self.newline[0])
-        if len(self.newline) != 1 or len(cuts) != len(chunks) - 1:
+        cuts = np.flatnonzero(ids == np.frombuffer(self.newline, "<u4")[0])
+        if len(self.newline) != 4 or len(cuts) != len(chunks) - 1:
             return self.whole(chunks)
         data, ends = ids.tobytes(), [*(4 * cuts).tolist(), 4 * len(ids)]
         return [data[a:b] for a, b in zip([0, *(end + 4 for end in ends)], ends, strict=False)]
 
-    def learn(self, chunks: set[str]) -> None:
-        """Remember chunks (each with its leading space). A word with one mark behind it is put together from the two."""
-        plain: set[str] = set()
-        marked: list[str] = []
-        for chunk in chunks:
-            body = chunk[1:] if chunk[0] == " " else chunk
-            if not body or body[0].isspace() or body[-1].isspace():
-                self.memory[chunk] = None
-            elif body[-1] in ",.;:!?" and body[:-1].isalpha() and max(body) < SETTLED:
-                marked.append(chunk)
-                plain.update((chunk[:-1], chunk[-1]))
-            else:
-                plain.add(chunk)
-        fresh = [c for c in plain if c not in self.memory]
-        broken = [c for c in fresh if "\n" in c]
-        simple = [c for c in fresh if "\n" not in c] if broken else fresh
-        if broken:
-            self.memory.update(zip(broken, self.whole(broken), strict=True))
-        for start in range(0, len(simple), 1 << 12):
-            part = simple[start : start + (1 << 12)]
-            self.memory.update(zip(part, self.lines(part), strict=True))
-        for chunk in marked:
-            self.memory[chunk] = self.memory[chunk[:-1]] + self.memory[chunk[-1]]
-        self.size += sum(ENTRY_BYTES + 5 * len(c) for c in fresh) + sum(ENTRY_BYTES + 5 * len(c) for c in marked)
+    def learn(self, spaced: set[str], bare: set[str]) -> None:
+        """Remember chunks. One of several lines is put together from these, and a word with one mark behind it from the two."""
+        joined: list[tuple[dict, str, list[str]]] = []
+        plain: dict[str, set[str]] = {" ": set(), "": set()}
+        again = [(" ", spaced), ("", bare)]
+        while again:
+            space, chunks = again.pop()
+            memory = self.spaced if space else self.bare
+            further: set[str] = set()
+            for chunk in chunks:
+                if chunk in memory or chunk in plain[space]:
+                    continue
+                if chunk[0].isspace() or chunk[-1].isspace():
+                    memory[chunk] = None
+                elif "\n" in chunk:
+                    parts = chunk.split("\n")
+                    if any(not p or p[0].isspace() or p[-1].isspace() for p in parts):
+                        memory[chunk] = None
+                    else:
+                        joined.append((memory, chunk, parts))
+                        further.update(parts[1:])
+                        again.append((space, {parts[0]}))
+                elif chunk[-1] in ",.;:!?" and chunk[:-1].isalpha() and max(chunk) < SETTLED:
+                    joined.append((memory, chunk, [chunk[:-1], chunk[-1]]))
+                    plain[space].add(chunk[:-1])
+                    plain[""].add(chunk[-1])
+                else:
+                    plain[space].add(chunk)
+            if further:
+                again.append(("", further))
+        for space, memory in ((" ", self.spaced), ("", self.bare)):
+            fresh = [c for c in plain[space] if c not in memory]
+            for start in range(0, len(fresh), 1 << 12):
+                part = fresh[start : start + (1 << 12)]
+                memory.update(zip(part, self.lines([space + c for c in part] if space else part), strict=True))
+            self.size += sum(map(len, fresh)) * 5 + ENTRY_BYTES * len(fresh)
+        # Words with a mark first: lines are made of them.
+        for memory, chunk, parts in sorted(joined, key=lambda j: "\n" in j[1]):
+            between = self.newline if "\n" in chunk else b""
+            memory[chunk] = between.join([memory[parts[0]], *(self.bare[p] for p in parts[1:])])
+            self.size += ENTRY_BYTES + 5 * len(chunk)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed little-endian unsigned 32-bit ids of every text."""
         if self.size > MEMORY_BYTES:
-            self.memory = {"": None}
-            self.size = 0
-        # The first chunk of a text has no space before it.
-        split = [t.replace(" ", "\0 ").split("\0") if t and "\0" not in t else [""] for t in texts]
-        unknown = set().union(*split).difference(self.memory)
-        if unknown:
-            self.learn(unknown)
+            self.forget()
+        split = [(t or "").split(" ") for t in texts]
+        heads = [chunks.pop(0) for chunks in split]
+        spaced, bare = set().union(*split).difference(self.spaced), set(heads).difference(self.bare)
+        if spaced or bare:
+            self.learn(spaced, bare)
         out: list[bytes] = []
-        for text, chunks in zip(texts, split, strict=True):
-            ids = list(map(self.memory.__getitem__, chunks))
-            if None not in ids:
-                out.append(b"".join(ids))
-            else:
+        for text, head, chunks in zip(texts, heads, split, strict=True):
+            first = self.bare[head]
+            try:
+                out.append(first + b"".join(map(self.spaced.__getitem__, chunks)))
+            except TypeError:  # a chunk that needs its surroundings
                 out.append(self.whole([text])[0] if text else b"")
         return out
 
@@ -124,11 +144,17 @@ def signs(seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, PLACES, 1 << 20), rng.choice([-1.0, 1.0], (PLACES, DIMENSIONS))
 
 
-def position(ids: np.ndarray) -> np.ndarray:
-    """Coordinates of a document in the cube of side 2^BITS: logarithms of its hashed counts, of length one, projected."""
+def positions(documents: list[bytes]) -> np.ndarray:
+    """Coordinates of documents (packed ids, none empty) in the cube of side 2^BITS: logarithms of their hashed counts, of
+    length one, projected."""
     places, projection = signs()
-    vector = np.log1p(np.bincount(places[ids % len(places)], minlength=PLACES))
-    flat = vector @ projection / max(np.linalg.norm(vector), 1e-12)
+    sizes = np.array([len(ids) // 4 for ids in documents])
+    ids = np.frombuffer(b"".join(documents), "<u4")
+    counts = np.bincount(np.repeat(np.arange(len(sizes)) * PLACES, sizes) + places[ids % len(places)])
+    at = np.flatnonzero(counts)
+    value = np.log1p(counts[at])
+    heads = np.flatnonzero(np.diff(at // PLACES, prepend=-1))
+    flat = np.add.reduceat(value[:, None] * projection[at % PLACES], heads) / np.sqrt(np.add.reduceat(value * value, heads))[:, None]
     # A logistic curve close to the normal distribution's, so that the cube is filled evenly.
     return np.minimum((1 << BITS) / (1 + np.exp(-1.7 * flat)), (1 << BITS) - 1).astype(np.int64)
 
@@ -190,7 +216,7 @@ class Packer:
                 for start in range(0, whole.num_rows, ROWS):
                     batch = whole.slice(start, ROWS)
                     packed = [ids + end for ids in encoder.encode(batch.column("text").to_pylist())]
-                    points = np.stack([position(np.frombuffer(ids, "<u4")) for ids in packed])
+                    points = positions(packed)
                     n = pa.array([len(ids) // 4 for ids in packed], pa.int64())
                     packed = [narrow(ids) for ids in packed]
                     yield pa.RecordBatch.from_arrays(
