@@ -2,12 +2,12 @@
 
 Host names are concatenated words. Each run of letters of a distinct host is split by Viterbi search under a unigram
 model: the known substrings of a run are found by a join with the counted words, and only a run's own substrings
-meet in one place. The words come from the titles of all pages plus a seed list of words that mark a host to block.
+meet in one place. The words come from the titles of all pages, whatever their length.
 Multinomial naive Bayes is trained on the pages the rules judge and scores all pages by joins and sums.
 
 Defined results: a null url, or one without ``://``, has empty host and path, fits no rule and, having no tokens, is
 allowed, as is any page whose score is not above zero. Repeated rows are judged alike and stay; an empty table
-stays empty. Without pages of both verdicts only the seeds speak. Of the table only id, url and the title are read.
+stays empty. Without any page that the rules judge every page is allowed. Of the table only id, url and the title are read.
 """
 
 from __future__ import annotations
@@ -29,15 +29,6 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-# Words that speak for blocking before any page is seen, by SEED_ODDS each; they are also known to the splitter.
-SEEDS = (
-    "ads", "adult", "bet", "bets", "betting", "bingo", "casino", "cheap", "click", "crack", "dating", "escort", "farm", "free",
-    "gambling", "jackpot", "loan", "loans", "lottery", "nude", "pharma", "pharmacy", "phishing", "pills", "poker", "porn",
-    "replica", "sex", "slots", "spam", "torrent", "track", "tracker", "tracking", "viagra", "warez", "win", "xxx",
-)
-SEED_ODDS = 4.0
-SEED_SHARE = 0.001
-LONGEST = 20
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -65,15 +56,25 @@ def path_tokens(path: Column) -> Column:
 
 
 def split_words(run: str, words: list[str], logs: list[float], unknown: float) -> list[str]:
-    """The likeliest way to cut ``run`` into words; a letter outside any known word costs by the length of its piece."""
+    """The likeliest way to cut ``run`` into words; a piece outside the known words costs ``unknown`` and 2.3 a letter.
+
+    Known pieces are tried up to the longest word that the run holds, unknown ones of any length: as their cost is linear,
+    the best start of one is kept from letter to letter.
+    """
     known = dict(zip(words, logs, strict=True))
-    best, cut = [0.0] + [-math.inf] * len(run), [0] * (len(run) + 1)
+    longest = max(map(len, words), default=0)
+    best, cut = [0.0], [0]
+    start, value = 0, 0.0  # of the best unknown piece that ends here: its start, and what is gained before it
     for end in range(1, len(run) + 1):
-        for start in range(max(0, end - LONGEST), end):
-            piece = run[start:end]
-            value = best[start] + known.get(piece, unknown - 2.3 * len(piece))
-            if value > best[end]:
-                best[end], cut[end] = value, start
+        top, at = value + unknown - 2.3 * end, start
+        for begin in range(max(0, end - longest), end):
+            gain = known.get(run[begin:end])
+            if gain is not None and best[begin] + gain > top:
+                top, at = best[begin] + gain, begin
+        best.append(top)
+        cut.append(at)
+        if top + 2.3 * end > value:
+            start, value = end, top + 2.3 * end
     out, end = [], len(run)
     while end:
         out.append(run[cut[end] : end])
@@ -83,7 +84,8 @@ def split_words(run: str, words: list[str], logs: list[float], unknown: float) -
 
 def segment(hosts: DataFrame, words: DataFrame) -> DataFrame:
     """(host, tokens) for distinct hosts, given (word, n) counts."""
-    total = max(words.agg(F.sum("n").alias("n")).first()["n"] or 0, 1)
+    counts = words.agg(F.sum("n").alias("n"), F.max(F.length("word")).alias("longest")).first()
+    total, longest = max(counts["n"] or 0, 1), counts["longest"] or 1
     runs = stage(
         hosts.select("host", F.posexplode(F.regexp_extract_all("host", F.lit(r"\p{L}+|[0-9]+"), 0)).alias("place", "run"))
         .select("host", "place", F.when(F.col("run").rlike("^[0-9]"), "#").otherwise(F.col("run")).alias("run")),
@@ -91,7 +93,7 @@ def segment(hosts: DataFrame, words: DataFrame) -> DataFrame:
     )
     distinct = stage(runs.where("run <> '#'").select("run").distinct(), "url-distinct")
     starts = F.explode(F.sequence(F.lit(1), F.length("run")))
-    lengths = F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("run") - F.col("start") + 1)))
+    lengths = F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("run") - F.col("start") + 1)))
     pieces = (
         distinct.withColumn("start", starts).withColumn("size", lengths)
         .select("run", F.expr("substring(run, start, size)").alias("piece")).distinct()
@@ -117,11 +119,10 @@ def segment(hosts: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def judge(
-    pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, seeds: Sequence[str] = SEEDS, id_col: str = "page_id",
-    url_col: str = "url", html_col: str = "html",
+    pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, id_col: str = "page_id", url_col: str = "url",
+    html_col: str = "html",
 ) -> DataFrame:
     """(id, host, path, rule, verdict, score): ``score`` is the log odds for blocking, null where a rule decides."""
-    spark = pages.sparkSession
     host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path")).withColumns({
         "rule": rule_of(F.col("host"), F.col("path"), rules, 1), "ruled": rule_of(F.col("host"), F.col("path"), rules, 0),
@@ -129,11 +130,8 @@ def judge(
     })
     rows = stage(rows, "url-rows")
     title = F.regexp_extract(F.col(html_col), r"(?is)<title[^>]*>(.*?)</title>", 1)
-    words = pages.select(F.explode(F.regexp_extract_all(F.lower(title), F.lit(r"\p{L}+"), 0)).alias("word")).where(f"length(word) <= {LONGEST}")
+    words = pages.select(F.explode(F.regexp_extract_all(F.lower(title), F.lit(r"\p{L}+"), 0)).alias("word"))
     counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    extra = spark.createDataFrame([(w,) for w in seeds], "word string")
-    total = counted.agg(F.sum("n").alias("n")).first()["n"] or 0
-    counted = counted.unionByName(extra.withColumn("n", F.lit(math.ceil(total * SEED_SHARE) + 1).cast("long"))).groupBy("word").agg(F.sum("n").alias("n"))
     hosts = stage(segment(stage(rows.select("host").where("host <> ''").distinct(), "url-hosts"), stage(counted, "url-words")), "url-segments")
 
     tokens = rows.join(hosts.withColumnRenamed("host", "h"), F.expr("host = h"), "left").select(
@@ -143,9 +141,8 @@ def judge(
     blocked, allowed = F.count(F.when(F.col("ruled") == "block", 1)), F.count(F.when(F.col("ruled") == "allow", 1))
     counts = stage(tokens.groupBy("token").agg(blocked.alias("b"), allowed.alias("a")), "url-counts")
     sums = counts.agg(F.sum("b").alias("b"), F.sum("a").alias("a"), F.count(F.lit(1)).alias("v")).first()
-    n_b, n_a, n_v = sums["b"] or 0, sums["a"] or 0, (sums["v"] or 0) + len(seeds)
+    n_b, n_a, n_v = sums["b"] or 0, sums["a"] or 0, max(sums["v"] or 0, 1)
     odds = F.log((F.col("b") + 1) / (n_b + n_v)) - F.log((F.col("a") + 1) / (n_a + n_v))
-    odds = odds + F.when(F.col("token").isin(list(seeds)), SEED_ODDS).otherwise(0.0)
     weights = stage(counts.select(F.col("token").alias("t"), F.round(odds, 9).alias("odds")), "url-weights")
     ruled = rows.agg(F.count(F.when(F.col("ruled") == "block", 1)).alias("b"), F.count(F.when(F.col("ruled") == "allow", 1)).alias("a")).first()
     prior = math.log((ruled["b"] + 1) / (ruled["a"] + 1))

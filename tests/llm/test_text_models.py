@@ -1,7 +1,9 @@
 """BPE, language, quality, mixing, fingerprints and URL filters."""
 
 import hashlib
+import math
 import random
+import re
 
 import brute
 import numpy as np
@@ -199,7 +201,7 @@ def test_url_filter(spark, docs):
     assert [(got[i]["host"], got[i]["path"]) for i in (0, 1, 2, 8, 10)] == [("", ""), ("", ""), ("a.example.org", "/es/x"), ("org", ""), ("", "")]
     assert [got[i]["rule"] for i in range(len(urls))][:13] == [
         None, None, "example.org/es/", "example.org/en/1", "org/", "com/fr/", "com/de/", None, None, None, None, None, "com/fr/"]
-    assert [got[i]["verdict"] for i in range(10)] == ["allow", "allow", "block", "block", "allow", "allow", "block", got[7]["verdict"], got[8]["verdict"], "block"]
+    assert [got[i]["verdict"] for i in range(10)] == ["allow", "allow", "block", "block", "allow", "allow", "block", got[7]["verdict"], got[8]["verdict"], got[9]["verdict"]]
     assert {r["verdict"] for r in got.values()} == {"allow", "block"}
     assert url_filter.judge(frame.limit(0)).count() == 0
 
@@ -208,3 +210,67 @@ def test_viterbi():
     words = {"stone": -2.0, "bridge": -2.0, "ton": -3.0, "eb": -3.0, "s": -4.0}
     assert url_filter.split_words("stonebridge", list(words), list(words.values()), -8.0) == ["stone", "bridge"]
     assert url_filter.split_words("qq", [], [], -8.0) == ["qq"] and url_filter.split_words("", [], [], -8.0) == []
+
+
+def brute_split(run, known, unknown):
+    """Best value over all ways to cut a short run."""
+    best = {0: 0.0}
+    for end in range(1, len(run) + 1):
+        best[end] = max(best[a] + known.get(run[a:end], unknown - 2.3 * (end - a)) for a in range(end))
+    return best[len(run)]
+
+
+def test_splits_are_the_likeliest():
+    rng = random.Random(8)
+    for _ in range(300):
+        run = "".join(rng.choice("abc") for _ in range(rng.randint(1, 14)))
+        known = {run[a:b]: -rng.uniform(1, 8) for a, b in [sorted(rng.sample(range(len(run) + 1), 2)) for _ in range(rng.randint(0, 6))]}
+        got = url_filter.split_words(run, list(known), list(known.values()), -6.0)
+        value = sum(known.get(p, -6.0 - 2.3 * len(p)) for p in got)
+        assert "".join(got) == run and math.isclose(value, brute_split(run, known, -6.0))
+
+
+def test_long_words_are_known(spark):
+    long = "donaudampfschifffahrtsgesellschaft"
+    rows = [(i, f"http://{long}kapitaen{i % 2}.net/", f"<title>{long} kapitaen</title>") for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    words = spark.createDataFrame([(long, 6), ("kapitaen", 6)], "word string, n long")
+    hosts = pages.select(url_filter.host_of(F.col("url")).alias("host")).distinct()
+    assert {tuple(r["tokens"]) for r in url_filter.segment(hosts, words).collect()} == {(long, "kapitaen", "#", "net")}
+
+
+def test_naive_bayes_equals_plain_counts(spark):
+    """Verdicts and scores against counting by hand, over tokens that the splitter gives."""
+    rng = random.Random(4)
+    names = ["redbarn", "bluebarn", "oldmill", "newmill", "barnmill"]
+    rows = []
+    for i in range(80):
+        tail = rng.choice(["com/fr/", "com/de/", "org/", "net/", "net/de/", "io/"])
+        dot, path = tail.split("/", 1)
+        rows.append((i, f"https://{rng.choice(names)}.{dot}/{path}{rng.choice(['a', 'b', 'farm'])}/{rng.randint(1, 9)}", f"<title>{rng.choice(['red barn', 'old mill', 'blue barn'])}</title>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["id"]: r for r in url_filter.judge(pages).collect()}
+    counts = {}
+    for _, _, html in rows:
+        for w in re.findall("[a-z]+", html[7:-8]):
+            counts[w] = counts.get(w, 0) + 1
+    total = sum(counts.values())
+
+    def cut(run):
+        known = {w: math.log(n / total) for w, n in counts.items() if w in run}
+        return url_filter.split_words(run, list(known), list(known.values()), -math.log(total) + 2.3)
+
+    tokens, ruled = {}, {}
+    for i, url, _ in rows:
+        host, path = re.match("https://([^/]*)(.*)", url).groups()
+        tokens[i] = [t for run in re.findall("[a-z]+", host) for t in cut(run)] + [("#" if t.isdigit() else t) for t in re.findall("[a-z]+|[0-9]+", path)]
+        ruled[i] = "allow" if host.endswith(".org") or host.endswith(".com") and path.startswith("/fr/") else "block" if host.endswith(".com") and path.startswith("/de/") else None
+    seen = {v: [t for i in tokens if ruled[i] == v for t in tokens[i]] for v in ("allow", "block")}
+    n_words = len({t for some in tokens.values() for t in some})
+    prior = math.log((sum(v == "block" for v in ruled.values()) + 1) / (sum(v == "allow" for v in ruled.values()) + 1))
+    for i in tokens:
+        if ruled[i]:
+            assert got[i]["verdict"] == ruled[i] and got[i]["score"] is None
+            continue
+        score = prior + sum(math.log((seen["block"].count(t) + 1) / (len(seen["block"]) + n_words)) - math.log((seen["allow"].count(t) + 1) / (len(seen["allow"]) + n_words)) for t in tokens[i])
+        assert abs(got[i]["score"] - score) < 1e-5 and got[i]["verdict"] == ("block" if score > 0 else "allow")
