@@ -94,7 +94,7 @@ def fit(
     ids = {i for some in chosen.values() for i in some if i is not None}
     excerpts = (
         rows.where(F.col("id").isin(list(ids))).select("lang", "h", "id", F.substring("text", 1, dictionary_bytes).alias("text"))
-        .collect()  # at most slots rows a language
+        .groupBy("lang", "h", "id").agg(F.min("text").alias("text")).collect()  # at most slots rows a language
     )
     found: dict[str, list] = {}
     for r in sorted(excerpts, key=lambda r: (r["h"], r["text"])):
