@@ -29,8 +29,9 @@ NEVER = 1 << 62
 # Fixed values of the vocabulary file's normalizer: the white space that is folded to one space.
 SPACES = regex.compile("[\t-\r \x85\xa0  -     　]+")
 SEPARATORS = regex.compile("[\x1c-\x1f]")
-# Words, and as many chunks between spaces, that one Python worker remembers; a full memory is emptied.
+# Words, and as many chunks between spaces, that one Python worker remembers, and bytes of each; a full memory is emptied.
 MEMORY_WORDS = 250_000
+MEMORY_BYTES = 64 << 20
 # Chunks of texts held at once while their unknown words are encoded together.
 HELD_WORDS = 100_000
 # Longer words (in bytes) get a tree of their own instead of a row in a table of trees.
@@ -180,6 +181,7 @@ class WordBpe:
         self.table = MergeTable(self.pairs)
         self.memory = {word: np.array([i], "<u4").tobytes() for word, i in self.special.items()}
         self.chunks: dict[str, bytes] = {}
+        self.word_bytes = self.chunk_bytes = 0
 
     def encode_word(self, word: str) -> bytes:
         data = word.encode("utf-8")
@@ -246,14 +248,20 @@ class WordBpe:
 
     def packed(self, held: list[list[str]]) -> Iterator[bytes]:
         chunks = {chunk for part in held for chunk in part}
-        if len(self.chunks) + len(chunks) > MEMORY_WORDS:
+        if len(self.chunks) + len(chunks) > MEMORY_WORDS or self.chunk_bytes > MEMORY_BYTES:
             self.chunks.clear()
+            self.chunk_bytes = 0
         fresh = {chunk: self.pieces(chunk) for chunk in chunks if chunk not in self.chunks}
         words = {word for pieces in fresh.values() for word in pieces}
-        if len(self.memory) + len(words) > MEMORY_WORDS:
+        if len(self.memory) + len(words) > MEMORY_WORDS or self.word_bytes > MEMORY_BYTES:
             self.memory.clear()
+            self.word_bytes = 0
             self.memory.update((word, np.array([i], "<u4").tobytes()) for word, i in self.special.items())
-        self.learn({word for word in words if word not in self.memory})
+        new = {word for word in words if word not in self.memory}
+        self.learn(new)
+        # A letter and its share of the ids take some five bytes.
+        self.word_bytes += 5 * sum(map(len, new))
+        self.chunk_bytes += 5 * sum(map(len, fresh))
         get = self.memory.__getitem__
         self.chunks.update((chunk, b"".join(map(get, pieces))) for chunk, pieces in fresh.items())
         for part in held:
