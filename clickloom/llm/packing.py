@@ -79,10 +79,15 @@ class Encoder:
             space, chunks = again.pop()
             memory = self.spaced if space else self.bare
             further: set[str] = set()
+            words = plain[space]
             for chunk in chunks:
-                if chunk in memory or chunk in plain[space]:
-                    continue
-                if chunk[0].isspace() or chunk[-1].isspace():
+                if chunk.isalpha():
+                    words.add(chunk)
+                elif chunk[-1] in ",.;:!?" and chunk[:-1].isalpha() and (chunk.isascii() or max(chunk) < SETTLED):
+                    joined.append((memory, chunk, [chunk[:-1], chunk[-1]]))
+                    words.add(chunk[:-1])
+                    plain[""].add(chunk[-1])
+                elif chunk[0].isspace() or chunk[-1].isspace():
                     memory[chunk] = None
                 elif "\n" in chunk:
                     parts = chunk.split("\n")
@@ -92,12 +97,8 @@ class Encoder:
                         joined.append((memory, chunk, parts))
                         further.update(parts[1:])
                         again.append((space, {parts[0]}))
-                elif chunk[-1] in ",.;:!?" and chunk[:-1].isalpha() and max(chunk) < SETTLED:
-                    joined.append((memory, chunk, [chunk[:-1], chunk[-1]]))
-                    plain[space].add(chunk[:-1])
-                    plain[""].add(chunk[-1])
                 else:
-                    plain[space].add(chunk)
+                    words.add(chunk)
             if further:
                 again.append(("", further))
         for space, memory in ((" ", self.spaced), ("", self.bare)):
