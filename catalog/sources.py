@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 from catalog.registry import RATES, family, prepared, query
 from clickloom.plans.prepare import prepare_log
 from clickloom.sources import (
-    click_log, click_schema, new_path, read_click_logs, read_comma_csv, read_predictions, read_space_text, stage,
-    write_comma_csv, write_space_text,
+    click_log, click_schema, cut_by_position, new_path, read_click_logs, read_comma_csv, read_predictions, read_space_text, stage,
+    with_file_rows, write_comma_csv, write_space_text,
 )
 from oracle.click_log import with_log
 from oracle.families import family_sql
@@ -65,6 +65,22 @@ def s4(spark, sf):
     return read_predictions(spark, path)
 
 
+@query("s1_p18_file_order_cut", with_log("""
+SELECT instance_id, place AS file_row, CASE WHEN place < 500 THEN 'test_a' ELSE 'test_b' END AS source
+FROM (SELECT instance_id, row_number() OVER (ORDER BY instance_id) - 1 AS place FROM click_log)
+"""))
+def file_order(spark, sf):
+    """Two stacked files told apart by position: rows are numbered in file order, the first 500 are the first file's."""
+    path = new_path(spark, "stacked")
+    schema = click_schema(True, OVERRIDES)
+    ordered = click_log(spark, sf).select(*_columns()).repartitionByRange(4, "instance_id").sortWithinPartitions("instance_id")
+    write_space_text(ordered, path)
+    numbered = stage(with_file_rows(read_space_text(spark, path, schema)), "numbered")
+    first, second = cut_by_position(numbered.withColumn("place", F.col("file_row")), 500)
+    both = first.withColumn("source", F.lit("test_a")).unionByName(second.withColumn("source", F.lit("test_b")))
+    return both.select("instance_id", F.col("place").alias("file_row"), "source")
+
+
 @query("s5_stage_boundary", with_log("""
 SELECT event_date, count(*) AS n_rows, CAST(sum(is_trade) AS BIGINT) AS n_trades, count(DISTINCT user_id) AS n_users
 FROM click_log GROUP BY event_date

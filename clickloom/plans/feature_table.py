@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.operators.distinct import distinct_rows
 from clickloom.operators.features import Family, JoinPolicy, family_table, source_sizes
 from clickloom.operators.models import PREDICT_TEXT, PROPERTY_TEXT, Boosting, text_score
 from clickloom.operators.position import position_table, reclick_table
@@ -62,7 +63,7 @@ def feature_table(
     shuffled on a feature key. ``text_models`` adds the text scores (text column -> settings).
     """
     clicks = stage(label_rows(prepared, slices), "clicks")
-    labels = stage(clicks.dropDuplicates().withColumn(ROW, F.monotonically_increasing_id()), "labels")
+    labels = stage(distinct_rows(clicks).withColumn(ROW, F.monotonically_increasing_id()), "labels")
     history = history_rows(prepared, slices)
 
     sources = {"label": clicks, "history": history}
