@@ -14,6 +14,7 @@ none; equal keys are ordered by id (null first), then by row. An empty table giv
 from __future__ import annotations
 
 import functools
+import gc
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -212,6 +213,14 @@ class Packer:
         path, end = self.path, np.array([self.end], "<u4").tobytes()
 
         def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            # Nothing here forms cycles; the collector would go through the remembered chunks again and again.
+            gc.disable()
+            try:
+                yield from coded_batches(batches)
+            finally:
+                gc.enable()
+
+        def coded_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             encoder = load(path)
             for whole in batches:
                 for start in range(0, whole.num_rows, ROWS):
