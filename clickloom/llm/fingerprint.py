@@ -1,10 +1,12 @@
 """Document fingerprints: a Merkle tree over paragraphs and sections, with DataFrame functions only.
 
-A paragraph is a piece of the text up to and with its line ends or sentence marks, at most PIECE code points long;
-the pieces make up the whole text. A section is SECTION paragraphs in a row. Paragraphs are hashed, sections hash the
-hashes of their paragraphs, the root hashes the sections. The fingerprint names the root and, section by section, the
-first eight digits of every paragraph's hash: equal roots mean equal texts, differing sections and paragraphs
-locate an edit.
+A paragraph is a piece of the text, cut by content: it ends with line ends or sentence marks, or, once LEAST code points
+long, where a code point comes again two or three places on; at the latest after PIECE code points. The pieces make up
+the whole text. A section ends with a paragraph whose hash starts with the digit 0, one in sixteen, or with the text. So
+an insertion moves no cuts but those close to it, in any script. Paragraphs are hashed, sections hash the hashes of
+their paragraphs, the root hashes the sections. The fingerprint names the root and, section by section, the first
+eight digits of every paragraph's hash: equal roots mean equal texts; ``differences`` descends from differing roots
+to the sections and paragraphs that differ.
 
 Defined results: a null text counts as empty; the empty text has no sections and a root of its own. ``likeness`` is 1
 for equal roots, else twice the number of common distinct paragraphs over the sum of both numbers, 0 if none.
@@ -19,27 +21,96 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+LEAST = 24
 PIECE = 160
-SECTION = 16
-PARAGRAPH = rf"[^\n.!?]{{0,{PIECE}}}+[\n.!?]+|[^\n.!?]{{1,{PIECE}}}"
+# Line ends and sentence marks of Latin, Arabic, Indic, Ethiopic, Armenian and East Asian scripts.
+MARKS = r"\n.!?\u2026\u3002\uFF01\uFF0E\uFF1F\uFF61\u061F\u06D4\u0964\u0965\u1362\u1367\u0589"
+# Code points met by one block of rows in ``with_next``, and the most blocks that the driver keeps bounds of.
+BLOCK_CHARS = 1 << 25
+BLOCKS = 20_000
+PARAGRAPH = (
+    rf"[^{MARKS}]{{0,{LEAST - 1}}}+[{MARKS}]+"
+    rf"|[^{MARKS}]{{{LEAST - 1},{PIECE - 1}}}?(?:[{MARKS}]+|([^{MARKS}])(?=[^{MARKS}]{{1,2}}\1))"
+    rf"|[^{MARKS}]{{1,{PIECE}}}"
+)
+
+
+def pieces(text: Column) -> Column:
+    """Paragraphs of a text, in order; no code point is left out."""
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PARAGRAPH), F.lit(0))
+
+
+def by_section(leaf: Column, item: Column) -> Column:
+    """``item`` (an array as long as the paragraph hashes ``leaf``) in sections: an array of arrays."""
+    places = F.transform(leaf, lambda h, i: F.when(h.startswith("0") | (i == F.size(leaf) - 1), i + 1))
+
+    def cut(ends: Column) -> Column:
+        def section(end: Column, k: Column) -> Column:
+            start = F.when(k > 0, F.get(ends, k - 1)).otherwise(0)
+            return F.slice(item, start + 1, end - start)
+
+        return F.transform(ends, section)
+
+    return F.element_at(F.transform(F.array(F.array_compact(places)), cut), 1)
 
 
 def fingerprint(text: Column) -> Column:
     """``root:paragraph.paragraph/paragraph...`` of a text column, ``/`` between sections."""
-    pieces = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PARAGRAPH), 0)
-    leaves = F.transform(pieces, lambda p: F.md5(p.cast("binary")))
+    leaves = F.transform(pieces(text), lambda p: F.md5(p.cast("binary")))
 
-    def tree(leaf: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(leaf), F.lit(SECTION))
-        sections = F.transform(starts, lambda i: F.slice(leaf, i, SECTION))
+    def tree(sections: Column) -> Column:
         root = F.sha2(F.array_join(F.transform(sections, lambda s: F.md5(F.array_join(s, "").cast("binary"))), "").cast("binary"), 256)
         shown = F.transform(sections, lambda s: F.array_join(F.transform(s, lambda h: F.substring(h, 1, 8)), "."))
         return F.concat(root, F.lit(":"), F.array_join(shown, "/"))
 
-    # Bound once by a one-element transform, so that the text is not cut again for every use.
-    bound = F.transform(F.array(leaves), lambda leaf: F.when(F.size(leaf) > 0, tree(leaf)))
+    # Bound once by one-element transforms, so that the text is not cut again for every use.
+    sections = F.transform(F.array(leaves), lambda leaf: F.when(F.size(leaf) > 0, by_section(leaf, leaf)))
     empty = F.concat(F.sha2(F.lit("").cast("binary"), 256), F.lit(":"))
-    return F.coalesce(F.element_at(bound, 1), empty)
+    return F.coalesce(F.element_at(F.transform(sections, lambda s: F.when(s.isNotNull(), tree(s))), 1), empty)
+
+
+def paragraph_at(text: Column, section: Column, paragraph: Column) -> Column:
+    """The paragraph at a place that ``differences`` names, both numbers from 1; null where there is none."""
+    cut = F.transform(F.array(pieces(text)), lambda p: by_section(F.transform(p, lambda x: F.md5(x.cast("binary"))), p))
+    return F.get(F.get(F.element_at(cut, 1), section - 1), paragraph - 1)
+
+
+def sections(print_: Column) -> Column:
+    """Sections of a fingerprint, each with its paragraphs' hashes."""
+    shown = F.substring_index(print_, ":", -1)
+    return F.when(shown == "", F.array().cast("array<string>")).otherwise(F.split(shown, "/"))
+
+
+def differences(pairs: DataFrame, a: str = "fingerprint", b: str = "edited_fingerprint", id_col: str = "id") -> DataFrame:
+    """(id, side, section, paragraph, hash): where the texts of two fingerprint columns differ, from the fingerprints alone.
+
+    Equal roots have no rows. Of differing roots the sections are compared, and only sections that one side (``a`` or
+    ``b``) has alone are opened; a paragraph in them that no opened section of the other side holds has a row. An opened
+    section without such a paragraph differs in the order or the number of its paragraphs: one row, paragraph null. If
+    no section stands alone, the order or number of sections differs: one row, side and section null too. Rows that
+    repeat id and both fingerprints count once; pairs with a null fingerprint have no rows.
+    """
+    key = F.concat_ws(":", F.col(id_col).isNull().cast("string"), F.col(id_col).cast("string"), root(F.col(a)), root(F.col(b)))
+    unequal = pairs.where(root(F.col(a)) != root(F.col(b))).select(F.col(id_col).alias("id"), key.alias("pair"), F.col(a).alias("_a"), F.col(b).alias("_b"))
+    unequal = unequal.dropDuplicates(["pair"])
+    sides = F.explode(F.array(*[F.struct(F.lit(x).alias("side"), sections(F.col(f"_{x}")).alias("sections")) for x in ("a", "b")]))
+    rows = unequal.select("id", "pair", sides.alias("s")).select("id", "pair", "s.side", F.posexplode("s.sections").alias("at", "hash"))
+
+    def alone(level: DataFrame) -> DataFrame:
+        one_side = level.groupBy("pair", "hash").agg(F.min("side").alias("x"), F.max("side").alias("y")).where("x = y")
+        return level.join(one_side, ["pair", "hash"], "left_semi")
+
+    opened = alone(rows).select("id", "pair", "side", (F.col("at") + 1).alias("section"), F.col("hash").alias("shown"))
+    changed = alone(
+        opened.select("id", "pair", "side", "section", F.posexplode(F.split("shown", "[.]")).alias("at", "hash"))
+    ).withColumn("paragraph", F.col("at") + 1)
+    nothing = F.lit(None)
+    moved = opened.join(changed, ["pair", "side", "section"], "left_anti").withColumns(
+        {"paragraph": nothing.cast("int"), "hash": nothing.cast("string")})
+    shuffled = unequal.join(opened, "pair", "left_anti").withColumns(
+        {"side": nothing.cast("string"), "section": nothing.cast("int"), "paragraph": nothing.cast("int"), "hash": nothing.cast("string")})
+    columns = ("id", "side", "section", "paragraph", "hash")
+    return changed.select(*columns).unionByName(moved.select(*columns)).unionByName(shuffled.select(*columns))
 
 
 def root(print_: Column) -> Column:
@@ -64,11 +135,14 @@ def likeness(a: Column, b: Column) -> Column:
 def with_next(docs: DataFrame, value_cols: tuple[str, ...], id_col: str = "id", text_col: str = "text") -> DataFrame:
     """Add ``next_<c>`` for each of ``value_cols``: its value in the following row.
 
-    Rows are cut into blocks by quantiles of the id, two a shuffle partition, whose bounds are all that reaches the
-    driver. Each block also gets the first rows of the next one as guests, so one shuffle of the rows is enough.
+    Rows are cut into blocks by quantiles of the id, two a shuffle partition or more, so that a block holds some
+    BLOCK_CHARS of text; the bounds, at most BLOCKS, are all that reaches the driver. Each block also gets the first rows
+    of the next one as guests, so one shuffle of the rows is enough. Rows of one id stay in a block, which is sorted and
+    read with spilling, never held whole.
     """
     spark = docs.sparkSession
-    wanted = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chars = docs.agg(F.sum(F.length(text_col)).alias("n")).first()["n"] or 0
+    wanted = min(BLOCKS, max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // BLOCK_CHARS)))
     shares = [i / wanted for i in range(1, wanted)]
     bounds = docs.agg(F.percentile_approx(id_col, shares, 20 * wanted).alias("b")).first()["b"] or []
     bounds = sorted(set(bounds))

@@ -136,3 +136,49 @@ def edited(docs):
         half = len(text) // 2
         out[i] = text[: len(text) - half] + follow[:half]
     return out
+
+
+MARKS = set("\n.!?\u2026\u3002\uff01\uff0e\uff1f\uff61\u061f\u06d4\u0964\u0965\u1362\u1367\u0589")
+
+
+def paragraphs(text):
+    """Cut after a run of marks, after a code point that comes again two or three on once 24 are there, or after 160."""
+    out, start = [], 0
+    while start < len(text):
+        end = None
+        for at in range(start, min(len(text), start + 160)):
+            if text[at] in MARKS:
+                end = at + 1
+                while end < len(text) and text[end] in MARKS:
+                    end += 1
+                break
+            follow = []
+            for c in text[at + 1 : at + 4]:
+                if c in MARKS:
+                    break
+                follow.append(c)
+            if at - start >= 23 and text[at] in follow[1:]:
+                end = at + 1
+                break
+        else:
+            # A run of marks may follow right after the longest piece.
+            end = min(len(text), start + 160)
+        out.append(text[start:end])
+        start = end
+    return out
+
+
+def merkle(text):
+    """(root, sections of paragraph hashes, sections of paragraphs)."""
+    cut = paragraphs(text)
+    leaves = [hashlib.md5(p.encode()).hexdigest() for p in cut]
+    ends = [i + 1 for i, h in enumerate(leaves) if h[0] == "0" or i == len(leaves) - 1]
+    groups = list(zip([0, *ends[:-1]], ends))
+    nodes = [hashlib.md5("".join(leaves[a:b]).encode()).hexdigest() for a, b in groups]
+    shown = [[h[:8] for h in leaves[a:b]] for a, b in groups]
+    return hashlib.sha256("".join(nodes).encode()).hexdigest(), shown, [cut[a:b] for a, b in groups]
+
+
+def fingerprint(text):
+    root, shown, _ = merkle(text)
+    return root + ":" + "/".join(".".join(s) for s in shown)

@@ -189,6 +189,78 @@ def test_pieces_make_up_the_text(spark, docs):
     assert row.where("t <> text").count() == 0
 
 
+def test_fingerprints_are_the_trees_of_brute_force(spark, docs, pairs):
+    long = "\u6f22\u5b57" * 3 + "".join(chr(0x4E00 + (i * i * 31 + i * 7) % 1500) for i in range(4000))
+    texts = [t or "" for _, t in pairs] + [long, "no marks at all " * 50, "\u3002" * 30 + "a", "aaaa" * 500]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = frame.select("id", fingerprint.fingerprint(F.col("text")).alias("f"), fingerprint.pieces(F.col("text")).alias("p")).collect()
+    for r in got:
+        assert r["p"] == brute.paragraphs(texts[r["id"]]) and r["f"] == brute.fingerprint(texts[r["id"]])
+    shown = [[h for s in brute.merkle(t)[1] for h in s] for t in texts]
+    couples = [(i, i + 1) for i in range(len(texts) - 1)]
+    prints = {r["id"]: r["f"] for r in got}
+    likes = spark.createDataFrame([(i, prints[i], prints[j]) for i, j in couples], "id long, a string, b string")
+    for r in likes.select("id", fingerprint.likeness(F.col("a"), F.col("b")).alias("near")).collect():
+        x, y = set(shown[r["id"]]), set(shown[r["id"] + 1])
+        equal = texts[r["id"]] == texts[r["id"] + 1]
+        assert r["near"] == (1.0 if equal else 2 * len(x & y) / (len(x) + len(y)) if x or y else 0.0)
+
+
+def test_one_inserted_letter_leaves_the_other_pieces(spark, docs):
+    rng = random.Random(5)
+    english = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(600))
+    chinese = "".join(chr(0x4E00 + int(rng.paretovariate(0.8) * 7) % 3000) for _ in range(4000))
+    sentences = "".join(chr(0x4E00 + rng.randrange(3000)) + ("\u3002" if i % 30 == 29 else "") for i in range(4000))
+    rows = [(i, t, "x" + t) for i, t in enumerate((english, chinese, sentences))]
+    frame = spark.createDataFrame(rows, "id int, a string, b string")
+    near = [r[0] for r in frame.orderBy("id").select(fingerprint.likeness(fingerprint.fingerprint(F.col("a")), fingerprint.fingerprint(F.col("b")))).collect()]
+    assert min(near) > 0.8
+
+
+def test_differences_locate_edits(spark, docs):
+    text = "".join(f"Sentence number {i} stands here. " for i in range(200))
+    edited = text.replace("number 70 stands", "number seventy stands").replace("Sentence number 150 stands here. ", "")
+    twice, swapped = text + text, "".join(reversed(brute.paragraphs(text)))
+    rows = [(1, text, edited), (2, text, text), (3, None, ""), (4, "", text[:40]), (5, text, twice), (6, text, swapped), (1, text, edited), (None, text, edited), (7, None, edited)]
+    frame = spark.createDataFrame(rows, "id long, a string, b string").withColumns({
+        "fingerprint": fingerprint.fingerprint(F.col("a")), "edited_fingerprint": fingerprint.fingerprint(F.col("b")),
+        "pair": F.lit("clash"), "side": F.lit("clash")})
+    got = {}
+    for r in fingerprint.differences(frame).collect():
+        got.setdefault(r["id"], []).append((r["side"], r["section"], r["paragraph"], r["hash"]))
+
+    def want(a, b):
+        (ra, sa, _), (rb, sb, _) = brute.merkle(a or ""), brute.merkle(b or "")
+        if ra == rb:
+            return []
+        out, opened = [], {}
+        for side, mine, other in (("a", sa, sb), ("b", sb, sa)):
+            opened[side] = [(k + 1, s) for k, s in enumerate(mine) if s not in other]
+        for side, other in (("a", "b"), ("b", "a")):
+            held = {h for _, s in opened[other] for h in s}
+            for k, s in opened[side]:
+                new = [(side, k, i + 1, h) for i, h in enumerate(s) if h not in held]
+                out += new or [(side, k, None, None)]
+        return out or [(None, None, None, None)]
+
+    for i, a, b in {(r[0], r[1], r[2]) for r in rows}:
+        assert sorted(got.get(i, []), key=str) == sorted(want(a, b), key=str)
+    # The places name the edited sentences.
+    at = spark.createDataFrame([(text, s, p) for side, s, p, _ in got[1] if side == "a" and p], "t string, s int, p int")
+    named = "".join(r[0] for r in at.select(fingerprint.paragraph_at(F.col("t"), F.col("s"), F.col("p"))).collect())
+    assert "70" in named and "150" in named and "Sentence number 20 " not in named
+    assert spark.createDataFrame([("a", 9, 9)], "t string, s int, p int").select(fingerprint.paragraph_at(F.col("t"), F.col("s"), F.col("p"))).first()[0] is None
+
+
+def test_fingerprints_of_rows_without_ids(spark, docs):
+    texts = [None, "", "b" * 7, "aa", "aa", "cccc"] * 20
+    frame = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    got = fingerprint.edited_pairs(frame)
+    ordered = sorted(t or "" for t in texts)
+    want = sorted(a[: len(a) - len(a) // 2] + b[: len(a) // 2] for a, b in zip(ordered, ordered[1:] + ordered[:1]))
+    assert sorted(r["edited"] for r in got.collect()) == want
+
+
 def test_url_filter(spark, docs):
     urls = [None, "no scheme", "http://A.Example.ORG/es/x?y", "https://example.org/en/1#z", "ftp://sub.org/", "x://com/fr/1", "http://b.com/de/2",
             "http://notcom/de/2", "http://org", "http://cheappills.net/en/3", "http://", "http://ä.example.com:80/en/\n1", "a://b.com/fr/://c.org/"]
