@@ -234,14 +234,18 @@ class Repeats:
                 key, context, least = (batch.column(c).to_numpy().view(np.uint64) for c in ("key", "context", "least"))
                 yield pa.RecordBatch.from_arrays([signed(triple(key, context, least))], ["key"])
 
-        wanted = stage(classes.join(several, F.expr("key = s")).select("key", "context", "least").mapInArrow(triples, "key long"), "rep-wanted")
+        firsts = stage(classes.join(several, F.expr("key = s")).select("key", "context", "least"), "rep-firsts")
+        wanted = stage(firsts.mapInArrow(triples, "key long"), "rep-wanted")
         asked = spark.sparkContext.broadcast(build_bloom(wanted, wanted.count(), bloom_bits))
 
         def shown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pick = lambda found, ids: asked.value.has(triple(found.key, found.context, ids.view(np.uint64)))
             return reports(batches, pick, True)
 
-        texts = docs.mapInArrow(shown, schema + ", content binary")
+        # What the filter lets through by chance goes here, so that a collection holds one bearer of a context.
+        bearers = firsts.withColumnsRenamed({"key": "fk", "context": "fc"})
+        texts = docs.mapInArrow(shown, schema + ", content binary").join(
+            bearers, F.expr("key = fk AND context = fc AND id = least"), "left_semi")
         hot = stage(several.where(F.col("n") > CHUNK).select("s", F.ceil(F.col("n") / CHUNK).alias("parts")), "rep-hot")
         dealt = texts.join(hot, F.expr("key = s"), "left").withColumns({
             "parts": F.coalesce("parts", F.lit(1)), "part": F.coalesce(F.pmod("context", "parts"), F.lit(0)).cast("int"),
