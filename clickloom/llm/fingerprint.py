@@ -1,8 +1,8 @@
 """Document fingerprints: a Merkle tree over paragraphs and sections, with DataFrame functions only.
 
-A paragraph is a piece of the text, cut by content: it ends with line ends or sentence marks, or, once LEAST code points
-long, where a code point comes again two or three places on; at the latest after PIECE code points. The pieces make up
-the whole text. A section ends with a paragraph whose hash starts with the digit 0, one in sixteen, or with the text. So
+A paragraph is a piece of the text, cut by content: it ends with line ends, or, once LEAST code points long, with sentence
+marks or where a code point comes again two or three places on; after PIECE code points if none of these is met. The
+pieces make up the whole text. A section ends with a paragraph whose hash starts with the digit 0, one in sixteen, or with the text. So
 an insertion moves no cuts but those close to it, in any script. Paragraphs are hashed, sections hash the hashes of
 their paragraphs, the root hashes the sections. The fingerprint names the root and, section by section, the first
 eight digits of every paragraph's hash: equal roots mean equal texts; ``differences`` descends from differing roots
@@ -23,15 +23,16 @@ from pyspark.sql import functions as F
 
 LEAST = 24
 PIECE = 160
-# Line ends and sentence marks of Latin, Arabic, Indic, Ethiopic, Armenian and East Asian scripts.
-MARKS = r"\n.!?\u2026\u3002\uFF01\uFF0E\uFF1F\uFF61\u061F\u06D4\u0964\u0965\u1362\u1367\u0589"
+# Sentence marks of Arabic, Indic, Ethiopic, Armenian and East Asian scripts, looked up for code points beyond Latin-1 only:
+# Java tries such a list one by one, which for every letter of a text costs more than all else together.
+MARKS = r"\u2026\u3002\uFF01\uFF0E\uFF1F\uFF61\u061F\u06D4\u0964\u0965\u1362\u1367\u0589"
 # Code points met by one block of rows in ``with_next``, and the most blocks that the driver keeps bounds of.
 BLOCK_CHARS = 1 << 25
 BLOCKS = 20_000
 PARAGRAPH = (
-    rf"[^{MARKS}]{{0,{LEAST - 1}}}+[{MARKS}]+"
-    rf"|[^{MARKS}]{{{LEAST - 1},{PIECE - 1}}}?(?:[{MARKS}]+|([^{MARKS}])(?=[^{MARKS}]{{1,2}}\1))"
-    rf"|[^{MARKS}]{{1,{PIECE}}}"
+    rf"[^\n]{{0,{LEAST - 2}}}+\n+"
+    rf"|[^\n]{{{LEAST - 1},{PIECE - 1}}}?(?:[\n.!?]+|(?![\x00-\xFF])[{MARKS}]|([^\n])(?=[^\n]{{1,2}}\1))"
+    rf"|[^\n]{{1,{PIECE}}}"
 )
 
 

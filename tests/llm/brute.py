@@ -138,31 +138,25 @@ def edited(docs):
     return out
 
 
-MARKS = set("\n.!?\u2026\u3002\uff01\uff0e\uff1f\uff61\u061f\u06d4\u0964\u0965\u1362\u1367\u0589")
+FAR_MARKS = set("\u2026\u3002\uff01\uff0e\uff1f\uff61\u061f\u06d4\u0964\u0965\u1362\u1367\u0589")
 
 
 def paragraphs(text):
-    """Cut after a run of marks, after a code point that comes again two or three on once 24 are there, or after 160."""
+    """Cut after line ends; from 24 code points on after marks or a code point that comes again two or three on; or after 160."""
     out, start = [], 0
     while start < len(text):
-        end = None
-        for at in range(start, min(len(text), start + 160)):
-            if text[at] in MARKS:
+        end = min(len(text), start + 160)
+        for at in range(start, end):
+            c, long = text[at], at - start >= 23
+            follow = text[at + 1 : at + 4].split("\n")[0]
+            if c == "\n" or long and c in ".!?":
                 end = at + 1
-                while end < len(text) and text[end] in MARKS:
+                while end < len(text) and text[end] in ("\n.!?" if long else "\n"):
                     end += 1
                 break
-            follow = []
-            for c in text[at + 1 : at + 4]:
-                if c in MARKS:
-                    break
-                follow.append(c)
-            if at - start >= 23 and text[at] in follow[1:]:
+            if long and (c in FAR_MARKS or c in follow[1:]):
                 end = at + 1
                 break
-        else:
-            # A run of marks may follow right after the longest piece.
-            end = min(len(text), start + 160)
         out.append(text[start:end])
         start = end
     return out
