@@ -182,7 +182,8 @@ def with_next(docs: DataFrame, value_cols: tuple[str, ...], id_col: str = "id",
         )
     # The guest of the last block opens the first one, so guests sort by their flag, not by id.
     window = Window.partitionBy("_block").orderBy("_guest", id_col, text_col)
-    rows = placed.withColumn("_guest", F.lit(0)).unionByName(guests)
+    # As many partitions as blocks asked for: a session's own number would let a task's share grow with the rows.
+    rows = placed.withColumn("_guest", F.lit(0)).unionByName(guests).repartition(wanted, "_block")
     nexts = {f"next_{c}": F.lead(c).over(window) for c in value_cols}
     return rows.withColumns(nexts).where("_guest = 0").drop("_block", "_guest")
 
