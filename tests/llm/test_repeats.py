@@ -1,5 +1,6 @@
 """Word and byte dedup against brute force."""
 
+import dataclasses
 import random
 
 import brute
@@ -37,6 +38,30 @@ def test_anchors_dealt_over_collections_give_the_same(docs, pairs, monkeypatch,
     assert byte_rows(docs) == brute.byte_dedup(pairs)
 
 
+def test_a_collection_holds_one_bearer_of_a_context(docs):
+    op = suffix_dedup.byte_repeats(100)
+    rows = suffix_dedup.prepared(docs, "doc_id", "text")
+
+    def checked(contents):
+        assert len(set(contents)) == len(contents), "a context was shown twice"
+        return op.compare(contents)
+
+    # A filter of 64 words is full, so every bearer passes it.
+    strict = dataclasses.replace(op, compare=checked)
+    assert strict.removed(rows, bloom_bits=1 << 12).count() > 0
+
+
+def test_bloom_filter_keeps_its_bound(spark, docs):
+    keys = np.random.default_rng(1).integers(-(1 << 63), 1 << 63, 50_000)
+    frame = spark.createDataFrame([(int(k),) for k in keys], "key long")
+    small = repeats.build_bloom(frame, len(keys), 1 << 12)
+    assert small.words.nbytes == (1 << 12) // 8 and small.has(keys.view(np.uint64)).all()
+    free = repeats.build_bloom(frame, len(keys))
+    assert free.words.nbytes <= repeats.BLOOM_BITS // 8 and free.has(keys.view(np.uint64)).all()
+    other = np.random.default_rng(2).integers(-(1 << 63), 1 << 63, 50_000).view(np.uint64)
+    assert free.has(other).mean() < 0.01
+
+
 def test_full_bloom_filter_changes_nothing(docs, pairs):
     op = substring_dedup.word_repeats(20)
     small = op.removed(suffix_dedup.prepared(docs, "doc_id", "text"), bloom_bits=1 << 12).count()
