@@ -1,6 +1,8 @@
 """The pipeline's stages, each judged on its own input."""
 
 import hashlib
+import re
+import zlib
 
 import brute
 import pytest
@@ -93,10 +95,54 @@ def test_empty_documents(spark, steps):
         assert docs.count() == 0
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+# Queries whose rows are ranked places, words and pieces; their own tests follow.
+OTHER_ROWS = {"op11_lexical_search", "op12_spelling_variants", "op13_packing"}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES.keys() - OTHER_ROWS))
 def test_query_returns_every_row(spark, steps, name):
     table = {"op1": "embeddings", "op3": "pages"}.get(name.split("_")[0], "documents")
     key = {"embeddings": "vec_id", "pages": "page_id"}.get(table, "doc_id")
     got = QUERIES[name](spark, SF).select(key)
     assert got.exceptAll(spark.read.parquet(f"{SF}/{table}.parquet").select(key)).count() == 0
     assert got.agg(F.countDistinct(key)).first()[0] == spark.read.parquet(f"{SF}/{table}.parquet").count()
+
+
+def test_every_item_has_its_ranks(spark, steps):
+    rows = {}
+    for r in QUERIES["op11_lexical_search"](spark, SF).collect():
+        rows.setdefault(r["item_id"], []).append((r["rank"], -r["score"], r["doc_id"]))
+    items = {r[0] for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id").collect()}
+    assert rows and rows.keys() <= items
+    for places in rows.values():
+        places.sort()
+        assert [p[0] for p in places] == list(range(1, len(places) + 1)) and len(places) <= 10
+        assert [p[1:] for p in places] == sorted(p[1:] for p in places)
+
+
+def test_every_word_has_a_row(spark, steps):
+    texts = pairs(steps[0])
+    got = {r["word"]: r["n"] for r in QUERIES["op12_spelling_variants"](spark, SF).collect()}
+    counts = {}
+    for doc, text in texts:
+        for run in re.findall("[A-Za-z\u00C0-\u00FF]+", text or ""):
+            word = run.translate(brute.LOWER)
+            h = zlib.crc32(f"{doc}:{word}".encode())
+            if h % 31 == 0:
+                word = word[: h % len(word)] + word[h % len(word) + 1 :]
+            counts[word] = counts.get(word, 0) + 1
+    assert got == {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+
+
+def test_pieces_make_up_every_document(spark, steps):
+    pieces, sequences = {}, {}
+    for r in QUERIES["op13_packing"](spark, SF).collect():
+        pieces.setdefault((r["doc_id"], r["doc_tokens"]), []).append((r["start"], r["length"]))
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert sorted(d for d, _ in pieces) == sorted(r[0] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect())
+    for parts, whole in [(v, k[1]) for k, v in pieces.items()] + [(v, None) for v in sequences.values()]:
+        at = 0
+        for start, length in sorted(parts):
+            assert start == at and length > 0
+            at += length
+        assert at == whole if whole is not None else at <= 2048
