@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from catalog.registry import SLICES, SLICES_END, family, prepared, query
 from clickloom.operators.features import Conversion, Family, Measure, family_table
 from clickloom.plans import specs
+from clickloom.plans.day_history import day_family_table, day_history
 from clickloom.plans.feature_table import RAW_LISTS, feature_table
 from clickloom.plans.slices import TimeSlice, history_rows, label_rows
 from clickloom.plans.prepare import prepare_log
@@ -90,3 +93,27 @@ def feature_table_sql() -> str:
 def e1_feature_table(spark, sf):
     """All counting, rate, position and re-click features of the three label days."""
     return feature_table(stage(prepared(spark, sf, SLICES_END), "log"), SLICES)
+
+
+# Six label days, each with the five days before it as its window.
+SLIDING = tuple(
+    TimeSlice(i, SLICES_END - dt.timedelta(days=6 - i), 5) for i in range(6)
+)
+SLIDING_SQL = tuple((s.name, f"{s.label_date}", f"{s.history_start}") for s in SLIDING)
+
+
+def _sliding(name: str, spec: Family) -> None:
+    """Windows that slide over partial results by day; the last four days are added to the history of the others."""
+
+    @query(name, family_sql(spec, slices=SLIDING_SQL))
+    def sliding(spark, sf):
+        log = stage(prepared(spark, sf, SLICES_END).select(
+            *dict.fromkeys(["instance_id", "event_date", "is_trade", "item_id", *spec.keys])), "log")
+        added = log.event_date >= SLICES_END - dt.timedelta(days=4)
+        days = day_history(log.filter(~added), [spec]).extended(day_history(log.filter(added), [spec]))
+        return day_family_table(label_rows(log, SLIDING), days, spec, SLIDING, keep_counts=True)
+
+
+_sliding("a1_a6_sliding_history", specs.one_key())
+_sliding("a9_sliding_daily_history", specs.DAILY_AVERAGE)
+_sliding("a10_sliding_distinct_items", specs.shop_share(distinct=True))

@@ -114,7 +114,7 @@ def _primitive(kind: str):
     }[kind]
 
 
-def _base_name(kind: str) -> str:
+def base_name(kind: str) -> str:
     return f"base_{kind}"
 
 
@@ -125,7 +125,7 @@ class SourceSizes:
     text_bytes: dict[str, int]  # longest value of every text column
 
 
-def _source_sizes(source: DataFrame, key_sets: Sequence[tuple[str, ...]]) -> SourceSizes:
+def measure_source(source: DataFrame, key_sets: Sequence[tuple[str, ...]]) -> SourceSizes:
     """Rows, groups per key set and the longest texts: one pass, one result row."""
     # Expressions as text: hundreds of small column calls would cost more than the job on small data.
     sketches = [
@@ -143,12 +143,12 @@ def source_sizes(
     source: DataFrame, families: Sequence[Family], scope: Sequence[str] = ("slice",), policy: JoinPolicy | None = None
 ) -> SourceSizes:
     """Sizes for all families over one source, in one pass."""
-    key_sets = dict.fromkeys(ks for f in families for ks in _key_sets(_grouped(f, tuple(scope)), tuple(scope), policy or JoinPolicy()))
+    key_sets = dict.fromkeys(ks for f in families for ks in _key_sets(grouped(f, tuple(scope)), tuple(scope), policy or JoinPolicy()))
     columns = dict.fromkeys(c for ks in key_sets for c in ks)
-    return _source_sizes(source.select(*columns), list(key_sets))
+    return measure_source(source.select(*columns), list(key_sets))
 
 
-def _grouped(family: Family, scope: tuple[str, ...]) -> dict[tuple, list[Measure]]:
+def grouped(family: Family, scope: tuple[str, ...]) -> dict[tuple, list[Measure]]:
     groups: dict[tuple, list[Measure]] = defaultdict(list)
     for m in family.measures:
         groups[(scope + m.keys, m.daily)].append(m)
@@ -174,21 +174,21 @@ def _aggregate(source: DataFrame, keys: tuple[str, ...], measures: Sequence[Meas
     source = source.dropna(subset=list(keys))
     if measures[0].daily:
         kinds = dict.fromkeys(m.kind for m in measures)
-        per_day = source.groupBy(*keys, "event_date").agg(*[_primitive(k).alias(_base_name(k)) for k in kinds])
-        return per_day.groupBy(*keys).agg(*[F.avg(_base_name(m.kind)).alias(m.name) for m in measures])
+        per_day = source.groupBy(*keys, "event_date").agg(*[_primitive(k).alias(base_name(k)) for k in kinds])
+        return per_day.groupBy(*keys).agg(*[F.avg(base_name(m.kind)).alias(m.name) for m in measures])
     aggregates = []
     for m in measures:
         if m.kind == "distinct_items":
             expr = F.count_distinct("item_id")
         else:
-            expr = F.sum(_base_name(m.kind)) if merged else _primitive(m.kind)
+            expr = F.sum(base_name(m.kind)) if merged else _primitive(m.kind)
         aggregates.append(expr.alias(m.name))
     return source.groupBy(*keys).agg(*aggregates)
 
 
-def _partials(measures: Sequence[Measure], merged: bool):
+def partials(measures: Sequence[Measure], merged: bool):
     for kind in dict.fromkeys(m.kind for m in measures):
-        name = _base_name(kind)
+        name = base_name(kind)
         yield (F.sum(name) if merged else _primitive(kind)).alias(name)
 
 
@@ -200,7 +200,7 @@ def _small_lookups(
     everything = [m for measures in groups.values() for m in measures]
     table = stage(
         source.groupingSets([list(keys) for keys in groups], *columns)
-        .agg(F.grouping_id().alias("_set"), *_partials(everything, merged)),
+        .agg(F.grouping_id().alias("_set"), *partials(everything, merged)),
         label,
     )
     out = {}
@@ -208,10 +208,37 @@ def _small_lookups(
         # The grouping id has a bit for every column that is not part of the set.
         code = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys)
         present = " AND ".join([f"_set = {code}", *[f"{k} IS NOT NULL" for k in keys]])
-        out[keys] = table.where(present).selectExpr(*keys, *[f"{_base_name(m.kind)} AS {m.name}" for m in measures])
+        out[keys] = table.where(present).selectExpr(*keys, *[f"{base_name(m.kind)} AS {m.name}" for m in measures])
     return out
 
 
+def fitting(
+    groups: dict[tuple, list[Measure]], counts: dict[tuple[str, ...], int], text_bytes: dict[str, int], policy: JoinPolicy
+) -> set[tuple]:
+    """The lookups that may be broadcast, smallest first, within the budgets for one and for all of them."""
+    budget = policy.total_broadcast_bytes
+    small = set()
+    for size, g in sorted(((counts[g[0]], g) for g in groups), key=lambda pair: pair[0]):
+        width = row_bytes(len(g[0]) + len(groups[g]), sum(text_bytes.get(k, 0) for k in g[0]))
+        total = int(size * policy.estimate_margin + 1) * width
+        if total <= policy.broadcast_bytes and total <= budget:
+            small.add(g)
+            budget -= total
+    return small
+
+
+def join_lookups(
+    target: DataFrame, family: Family, lookups: dict[tuple, DataFrame], small: set[tuple], carry: Sequence[str],
+    scope: Sequence[str], keep_counts: bool,
+) -> DataFrame:
+    """Every target row with its match in each lookup, reduced to ``carry`` and the family's outputs."""
+    out = target.select(*dict.fromkeys([*carry, *scope, *family.keys]))
+    # Broadcast joins first: they need no shuffle, and the shuffles that follow stay next to each other.
+    for g in sorted(lookups, key=lambda g: g not in small):
+        out = out.join(F.broadcast(lookups[g]) if g in small else lookups[g], list(g[0]), "left")
+    return out.selectExpr(*carry, *_finish(family, keep_counts))
+
+
 def family_table(
     target: DataFrame,
     source: DataFrame,
@@ -228,29 +255,22 @@ def family_table(
     handed in where several families share one.
     """
     scope = tuple(scope)
-    groups = _grouped(family, scope)
+    groups = grouped(family, scope)
 
     used = list(dict.fromkeys([*scope, *family.keys, "event_date", "item_id", LABEL]))
     source = source.select(*[c for c in used if c in source.columns])
 
     additive = {g for g, ms in groups.items() if _is_additive(ms)}
     coarse, base_keys = _base_keys(groups, policy)
-    found = sizes or _source_sizes(source, list(dict.fromkeys(_key_sets(groups, scope, policy))))
+    found = sizes or measure_source(source, list(dict.fromkeys(_key_sets(groups, scope, policy))))
     base_size = found.groups[base_keys or scope]
 
     base = None
     if len(coarse) > 1 and base_size * policy.estimate_margin <= policy.rollup_ratio * found.rows:
         measures = [m for g in coarse for m in groups[g]]
-        base = stage(source.groupBy(*base_keys).agg(*_partials(measures, False)), f"{family.name}-base")
+        base = stage(source.groupBy(*base_keys).agg(*partials(measures, False)), f"{family.name}-base")
 
-    budget = policy.total_broadcast_bytes
-    small = set()
-    for size, g in sorted(((found.groups[g[0]], g) for g in groups), key=lambda pair: pair[0]):
-        width = row_bytes(len(g[0]) + len(groups[g]), sum(found.text_bytes.get(k, 0) for k in g[0]))
-        total = int(size * policy.estimate_margin + 1) * width
-        if total <= policy.broadcast_bytes and total <= budget:
-            small.add(g)
-            budget -= total
+    small = fitting(groups, found.groups, found.text_bytes, policy)
 
     lookups = {}
     for rolled in (True, False):
@@ -269,11 +289,7 @@ def family_table(
             # side is not split where a key is hot.
             lookups[g] = lookup if g in small else stage(lookup, f"{family.name}-lookup")
 
-    out = target.select(*dict.fromkeys([*carry, *scope, *family.keys]))
-    # Broadcast joins first: they need no shuffle, and the shuffles that follow stay next to each other.
-    for g in sorted(groups, key=lambda g: g not in small):
-        out = out.join(F.broadcast(lookups[g]) if g in small else lookups[g], list(g[0]), "left")
-    return out.selectExpr(*carry, *_finish(family, keep_counts))
+    return join_lookups(target, family, lookups, small, carry, scope, keep_counts)
 
 
 def _finish(family: Family, keep_counts: bool) -> list[str]:

@@ -13,6 +13,7 @@ from clickloom.operators.features import Family, JoinPolicy, family_table, sourc
 from clickloom.operators.models import PREDICT_TEXT, PROPERTY_TEXT, Boosting, text_score
 from clickloom.operators.position import position_table, reclick_table
 from clickloom.plans import specs
+from clickloom.plans.day_history import DayHistory, day_family_table
 from clickloom.plans.slices import TimeSlice, history_rows, label_rows
 from clickloom.sources.stage import stage
 
@@ -53,6 +54,7 @@ def feature_table(
     text_models: dict[str, Boosting] | None = None,
     keep_counts: bool = False,
     policy: JoinPolicy = JoinPolicy(),
+    days: DayHistory | None = None,
 ) -> DataFrame:
     """Label rows of all slices with every feature.
 
@@ -61,6 +63,7 @@ def feature_table(
     Families are computed on narrow projections and staged on their own; they meet once, by a row
     number given to the stored label rows, so duplicate instance ids stay harmless and no wide row is
     shuffled on a feature key. ``text_models`` adds the text scores (text column -> settings).
+    Where ``days`` holds partial results of the same log by day, history families sum those and read no log rows.
     """
     clicks = stage(label_rows(prepared, slices), "clicks")
     labels = stage(distinct_rows(clicks).withColumn(ROW, F.monotonically_increasing_id()), "labels")
@@ -68,10 +71,13 @@ def feature_table(
 
     sources = {"label": clicks, "history": history}
     # One pass over each source tells the sizes for all families that read it.
-    sizes = {over: source_sizes(sources[over], [f for f in families if f.over == over], policy=policy)
-             for over in dict.fromkeys(f.over for f in families)}
+    by_log = [f for f in families if days is None or f.over != "history"]
+    sizes = {over: source_sizes(sources[over], [f for f in by_log if f.over == over], policy=policy)
+             for over in dict.fromkeys(f.over for f in by_log)}
 
     def family_job(family: Family):
+        if family not in by_log:
+            return lambda: day_family_table(labels, days, family, slices, (ROW,), keep_counts=keep_counts, policy=policy)
         return lambda: family_table(
             labels, sources[family.over], family, (ROW,), keep_counts=keep_counts, policy=policy, sizes=sizes[family.over])
 

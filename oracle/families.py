@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.click_log import with_slices
+from oracle.click_log import SLICES, with_slices
 
 AGGREGATE = {
     "rows": "count(*)",
@@ -13,7 +13,7 @@ AGGREGATE = {
 }
 
 
-def family_sql(family, keep_counts: bool = True) -> str:
+def family_sql(family, keep_counts: bool = True, slices=SLICES) -> str:
     rows = "l" if family.over == "label" else "h"
     key_sets = list(dict.fromkeys((m.keys, m.daily) for m in family.measures))
     ctes, joins, column = [], [], {}
@@ -43,4 +43,4 @@ def family_sql(family, keep_counts: bool = True) -> str:
         else:
             column[r.name] = f"{hits}::DOUBLE / nullif({tries}, 0)::DOUBLE"
     select = ",\n  ".join(f"{column[n]} AS {n}" for n in family.outputs(keep_counts))
-    return with_slices(f"SELECT l.slice, l.instance_id,\n  {select}\nFROM l\n" + "\n".join(joins), *ctes)
+    return with_slices(f"SELECT l.slice, l.instance_id,\n  {select}\nFROM l\n" + "\n".join(joins), *ctes, slices=slices)
