@@ -14,11 +14,13 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+# Tables of powers up to this size are kept per process, some 25 MB in all; longer texts have theirs made anew.
+KEPT = 1 << 19
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n-1 at least of the base and of its inverse; kept per process for texts up to a megabyte."""
+    """Powers 0..n-1 at least of the base and of its inverse."""
     if len(_powers[0]) < n:
         size = max(1 << 16, 1 << (n - 1).bit_length())
         made = []
@@ -26,7 +28,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             row = np.full(size, base)
             row[0] = U(1)
             made.append(np.multiply.accumulate(row))
-        if size > 1 << 21:
+        if size > KEPT:
             return made[0], made[1]
         _powers[:] = made
     return _powers[0], _powers[1]
@@ -58,7 +60,7 @@ def residue(v: np.ndarray) -> np.ndarray:
 
 
 def residue_powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Powers 0..n-1 at least of each base and of its inverse modulo PRIME; kept per process for texts up to a megabyte."""
+    """Powers 0..n-1 at least of each base and of its inverse modulo PRIME."""
     if _residues and len(_residues[0][0]) >= n:
         return _residues
     size = max(1 << 16, 1 << (n - 1).bit_length())
@@ -71,7 +73,7 @@ def residue_powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
                 row = np.concatenate([row, residue(row * U(pow(x, len(row), int(PRIME))))])
             rows.append(row)
         made.append((rows[0], rows[1]))
-    if size <= 1 << 21:
+    if size <= KEPT:
         _residues[:] = made
     return made
 

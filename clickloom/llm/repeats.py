@@ -39,7 +39,7 @@ CHUNK = 2048
 COLLECTION = 4096
 # Symbols of a text handled at a time; a place within fits into PLACE_BITS.
 PLACE_BITS = 22
-STRETCH = 1 << 21
+STRETCH = 1 << 18
 # Symbols of short texts handled at a time.
 AT_ONCE = 1 << 16
 BLOOM_BITS = 1 << 28
