@@ -146,20 +146,22 @@ def without_repeats(docs: DataFrame, width: int = 100, id_col: str = "doc_id", t
         F.collect_list(F.struct("first", "last")).alias("_cut")
     )
 
-    @F.pandas_udf("string")
-    def cut(texts, stretches):  # noqa: ANN001, ANN202
-        out = []
-        for start in range(0, len(texts), 256):
-            some = texts.iloc[start : start + 256].tolist()
-            found = [None if x is None else list(x) for x in stretches.iloc[start : start + 256]]
-            encoded = [np.frombuffer((t or "").encode("utf-8"), np.uint8) for t in some]
-            for text, data, gone in zip(some, encoded, op.covered(some, [len(d) for d in encoded], found), strict=True):
-                out.append(None if text is None else data[~gone].tobytes().decode("utf-8", "ignore"))
-        return type(texts)(out, dtype=object)
+    names = docs.columns
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                some, stretches = part.column(text_col).to_pylist(), part.column("_cut").to_pylist()
+                encoded = [np.frombuffer((t or "").encode("utf-8"), np.uint8) for t in some]
+                gone = op.covered(some, [len(d) for d in encoded], stretches)
+                out = [None if t is None else d[~g].tobytes().decode("utf-8", "ignore") for t, d, g in zip(some, encoded, gone, strict=True)]
+                kept = [pa.array(out, pa.string()) if c == text_col else part.column(c) for c in names]
+                yield pa.RecordBatch.from_arrays(kept, names)
 
     from clickloom.sources.stage import stage
 
     mark = (F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")) - F.lit(1 << 31)).cast("int")
     here = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)) == F.col("_cut_id")
     joined = docs.join(stage(by_row, "cut-stretches"), here & (mark == F.col("_cut_mark")), "left")
-    return joined.withColumn(text_col, cut(F.col(text_col), F.col("_cut"))).select(*docs.columns)
+    return joined.select(*names, "_cut").mapInArrow(cut, docs.schema)
