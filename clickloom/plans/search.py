@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from clickloom.functions import hash_unit
 from clickloom.operators.indexing import hash_folds
 from clickloom.operators.scores import top_n
-from clickloom.sources.stage import stage
+from clickloom.sources.stage import spread, stage
 
 
 def param_grid(spark: SparkSession, space: Mapping[str, Sequence]) -> DataFrame:
@@ -64,7 +64,7 @@ class Tuner:
         """Mean k-fold score of every trial row. Scores are negated where less is better."""
         rows = trials.collect()  # a handful of parameter settings
         maps = [{self.estimator.getParam(k): v for k, v in r.asDict().items()} for r in rows]
-        folded = stage(hash_folds(data, self.n_folds, id_col, salt=str(self.seed), name="_fold"), "folds")
+        folded = stage(hash_folds(spread(data), self.n_folds, id_col, salt=str(self.seed), name="_fold"), "folds")
         fitted = CrossValidator(
             estimator=self.estimator, evaluator=self.evaluator, estimatorParamMaps=maps,
             numFolds=self.n_folds, foldCol="_fold", parallelism=self.parallelism,

@@ -1,4 +1,5 @@
 import math
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -7,10 +8,11 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from clickloom.operators import models
 from clickloom.operators.indexing import hash_folds
 from clickloom.operators.models import (
     FIRST_LIBRARY, LEAF_TREES, SECOND_LIBRARY, feature_columns, fit_boosted, fit_leaf_embedding, fit_with_validation,
-    importances, joint_one_hot, one_hot_leaves, score, text_score, top_features, with_rounds,
+    importances, joint_one_hot, one_hot_leaves, score, text_score, text_shares, top_features, with_rounds,
 )
 from clickloom.operators.prior import count_histograms, fit_beta_prior, fit_beta_priors
 from clickloom.operators.scores import log_loss
@@ -187,3 +189,50 @@ def test_search_finds_the_useful_setting(spark, planted):
     got = Tuner.by_log_loss(LogisticRegression(maxIter=20), space, n_folds=2).search(data, "instance_id", 6, 2).collect()
     assert len(got) == 2 and all(r["score"] < 0 for r in got)
     assert got[0]["regParam"] < 10.0
+
+
+def test_text_shares_stand_for_all_rows(spark):
+    """A text's rows become a bounded number of weighted rows; none is lost, and empty and missing texts stay."""
+    rows = spark.range(0, 1000).select(
+        F.when(F.col("id") < 900, "a ring").when(F.col("id") < 990, "").alias("text"), (F.col("id") % 2).cast("double").alias("label"))
+    got = text_shares(rows, "text", 7).collect()
+    assert len(got) == 4 * 7 + 2 * 5 and sum(r["weight"] for r in got) == 1000
+    assert {r["weight"] for r in got} == {65, 64, 7, 6, 1}
+    ring = [r for r in got if r["_tokens"] == ["ring"] and r["label"] == 1.0]
+    assert len(ring) == 7 and sum(r["weight"] for r in ring) == 450
+
+
+def test_rows_of_one_text_weigh_as_many_in_the_idf(spark):
+    texts = ["red ring"] * 40 + ["red bowl"] * 3 + ["", None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").select(tokens_of("text").alias("t"))
+    counted = docs.groupBy("t").agg(F.count(F.lit(1)).alias("n"))
+    plain, weighted = fit_tfidf(docs, "t", "v", 64), fit_tfidf(counted, "t", "v", 64, weight="n")
+    one, two = (m.stages[1].getScalingVec().toArray() for m in (plain, weighted))
+    assert np.allclose(one, two, rtol=1e-12, atol=0)
+
+
+def test_text_score_trains_on_few_rows_whatever_the_log(spark, monkeypatch):
+    """The rows that every round passes over don't grow with the clicks of a text; the scores stay those of the rows."""
+    seen = []
+    fit = models.text_shares
+
+    def counted(*args):
+        seen.append(fit(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(models, "text_shares", counted)
+    rows = spark.range(0, 40_000).select(F.col("id").alias("instance_id"), F.expr("if(id % 4 = 0, 'red', 'blue')").alias("text"),
+                                         F.expr("if(id % 4 = 0, id % 8 = 0, id % 8 = 1)").cast("int").alias("is_trade"))
+    boosting = replace(FIRST_LIBRARY, maxIter=60, stepSize=0.5, subsamplingRate=1.0, featureSubsetStrategy="all")
+    got = dict(text_score(rows, rows.limit(8), "text", "p", boosting, keep=("text",)).distinct().collect())
+    assert seen[0].count() == 4 * models.SHARES
+    # A half of the red rows and a sixth of the blue ones are bought.
+    assert math.isclose(got["red"], 1 / 2, abs_tol=0.01) and math.isclose(got["blue"], 1 / 6, abs_tol=0.01)
+
+
+def test_fits_use_all_cores(spark, planted, monkeypatch):
+    seen = []
+    monkeypatch.setattr(models, "spread", lambda df: seen.append(df) or df)
+    fit_boosted(planted, ["x", "noise"], with_rounds(FIRST_LIBRARY, 1))
+    fit_leaf_embedding(planted, ["x"], with_rounds(LEAF_TREES, 1))
+    assert [df.columns for df in seen] == [["x", "noise", "is_trade"], ["x", "is_trade"]]
