@@ -236,3 +236,15 @@ def test_fits_use_all_cores(spark, planted, monkeypatch):
     fit_boosted(planted, ["x", "noise"], with_rounds(FIRST_LIBRARY, 1))
     fit_leaf_embedding(planted, ["x"], with_rounds(LEAF_TREES, 1))
     assert [df.columns for df in seen] == [["x", "noise", "is_trade"], ["x", "is_trade"]]
+
+
+def test_tfidf_moves_texts_once_and_no_single_terms(spark):
+    """Ids that repeat or are null count as one document each; after the lists are stored no shuffle carries terms."""
+    rows = [(1, "red ring"), (1, "ring ring"), (None, "red"), (None, "bowl bowl"), (2, None), (3, "")]
+    got = tfidf_table(spark.createDataFrame(rows, "id int, text string"), "text", ["id"])
+    assert {(r["id"], r["term"], r["tf"], r["df"]) for r in got.collect()} == {
+        (1, "red", 1, 2), (1, "ring", 3, 1), (None, "red", 1, 2), (None, "bowl", 2, 1)}
+    lengths = got.groupBy("id").agg(F.sum(F.col("weight") * F.col("weight")).alias("s")).collect()
+    assert all(math.isclose(r["s"], 1.0) for r in lengths)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and not any("Exchange hashpartitioning(term" in line for line in plan.splitlines())
