@@ -1,13 +1,16 @@
 import datetime as dt
+import sys
 
 from pyspark.sql import functions as F
 
+from clickloom.operators.features import JoinPolicy
 from clickloom.plans.feature_table import DEFAULT_TEXT_MODELS, RAW_LISTS, feature_table
 from clickloom.plans.prepare import prepare_log
 from clickloom.plans.slices import TimeSlice
 from clickloom.operators.models import with_rounds
 from clickloom.sources import click_log, stage
 
+module = sys.modules[feature_table.__module__]
 SLICES = (TimeSlice(2, dt.date(2024, 1, 24), 5), TimeSlice(3, dt.date(2024, 1, 25), 5))
 
 
@@ -31,3 +34,17 @@ def test_feature_table_with_text_scores_and_copies(spark, sf_dir):
     assert doubled.count() > 0 and doubled.filter("this_day_user_click_same_item_times < 2").count() == 0
     rates = [c for c in table.columns if c.endswith("_rate") or c.endswith("_quality") or c.endswith("_prob")]
     assert table.filter(" OR ".join(f"{c} NOT BETWEEN 0 AND 1" for c in rates)).count() == 0
+
+
+def test_families_share_one_broadcast_budget(spark, sf_dir, monkeypatch):
+    """What all families together may broadcast passes through one driver."""
+    prepared = stage(prepare_log(click_log(spark, sf_dir, dt.date(2024, 1, 24), dt.date(2024, 1, 25))), "log")
+    seen = []
+
+    def no_features(labels, source, family, carry, policy, **_):
+        seen.append(policy.total_broadcast_bytes)
+        return labels.select(*carry)
+
+    monkeypatch.setattr(module, "family_table", no_features)
+    feature_table(prepared, SLICES[:1])
+    assert len(seen) == 4 and sum(seen) <= JoinPolicy().total_broadcast_bytes
