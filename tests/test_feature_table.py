@@ -48,3 +48,21 @@ def test_families_share_one_broadcast_budget(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(module, "family_table", no_features)
     feature_table(prepared, SLICES[:1])
     assert len(seen) == 4 and sum(seen) <= JoinPolicy().total_broadcast_bytes
+
+
+def test_label_days_of_a_log_by_time_use_all_cores(spark, sf_dir, monkeypatch):
+    """They lie in one file of the log; the rows that all families join lie in as many files as there are cores."""
+    log = prepare_log(click_log(spark, sf_dir, dt.date(2024, 1, 18), dt.date(2024, 1, 26)))
+    prepared = stage(log.repartitionByRange(16, "context_timestamp"), "log")
+    cores = spark.sparkContext.defaultParallelism
+    assert len(prepared.inputFiles()) >= cores
+    seen = []
+
+    def no_features(labels, source, family, carry, **_):
+        seen.append(labels)
+        return labels.select(*carry)
+
+    monkeypatch.setattr(module, "family_table", no_features)
+    found = feature_table(prepared, SLICES)
+    assert min(len(labels.inputFiles()) for labels in seen) >= cores
+    assert found.select("instance_id").exceptAll(prepared.where("day IN (24, 25)").select("instance_id")).isEmpty()
