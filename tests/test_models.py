@@ -6,6 +6,7 @@ import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from clickloom.operators import models
@@ -191,6 +192,23 @@ def test_search_finds_the_useful_setting(spark, planted):
     assert got[0]["regParam"] < 10.0
 
 
+def test_search_fits_once_a_fold_and_setting(spark, planted, monkeypatch):
+    """The scores are the cross-validator's, without its last fit on all rows."""
+    data = VectorAssembler(inputCols=["x", "noise"], outputCol="features").transform(planted).select(
+        "instance_id", "features", F.col("is_trade").cast("double").alias("label"))
+    tuner = Tuner.by_log_loss(LogisticRegression(maxIter=20), {"regParam": [0.0, 1.0]}, n_folds=3)
+    folded = hash_folds(data, 3, "instance_id", salt="0", name="_fold")
+    maps = [{tuner.estimator.regParam: r} for r in (0.0, 1.0)]
+    want = CrossValidator(estimator=tuner.estimator, evaluator=tuner.evaluator, estimatorParamMaps=maps, numFolds=3, foldCol="_fold").fit(folded)
+    fits = []
+    fit = LogisticRegression._fit
+    monkeypatch.setattr(LogisticRegression, "_fit", lambda self, rows: fits.append(1) or fit(self, rows))
+    got = tuner.evaluate(data, param_grid(spark, tuner.space), "instance_id").orderBy("regParam").collect()
+    assert np.allclose([-r["score"] for r in got], want.avgMetrics, rtol=1e-6) and len(fits) == 2 * 3
+    with pytest.raises(ValueError, match="empty"):
+        tuner.evaluate(data.limit(1), param_grid(spark, tuner.space), "instance_id")
+
+
 def test_text_shares_stand_for_all_rows(spark):
     """A text's rows become a bounded number of weighted rows; none is lost, and empty and missing texts stay."""
     rows = spark.range(0, 1000).select(
