@@ -10,6 +10,7 @@ from clickloom.operators.ensembles import Rounds, best_round, fit_with_patience,
 from clickloom.operators.models import FIRST_LIBRARY, fit_boosted, fit_l1_logistic, l1_penalty, score, text_score
 from clickloom.operators.scores import area_under_roc, log_loss
 from clickloom.operators.sparse_logistic import SparseLogistic, cells_of, fit_l1_places, optimality
+from clickloom.plans.stacking import LeafLogistic
 from clickloom.sources import stage
 
 QUICK = replace(FIRST_LIBRARY, maxIter=5, subsamplingRate=1.0)
@@ -117,6 +118,27 @@ def test_l1_in_a_table_reaches_the_optimum(spark, sparse):
     assert optimality(rows, cells, off).agg(F.max("residual")).first()[0] > 0.1 * penalty
 
 
+def test_certificate_meets_cells_where_their_rows_lie(spark, sparse, monkeypatch):
+    """The gradients of a brute-force sum, off one copy of the weights and without a join of cells and rows."""
+    trained = fit_l1_logistic(sparse, ["a", "b"], 0.1, 500, 1e-12)
+    asked, weights = [], type(trained.stages[-1]).coefficients
+    monkeypatch.setattr(type(trained.stages[-1]), "coefficients", property(lambda m: asked.append(1) or weights.fget(m)))
+    found = LeafLogistic(trained, sparse, sparse, ("a", "b")).certificate(0.1)
+    assert len(asked) == 1
+    # The one join left is that with the weights.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    data = sparse.select("is_trade", "a", "b").collect()
+    x = np.array([[*r["a"].toArray(), *r["b"].toArray()] for r in data])
+    beta, free = weights.fget(trained.stages[-1]).toArray(), trained.stages[-1].intercept
+    error = 1 / (1 + np.exp(-(x @ beta + free))) - np.array([r["is_trade"] for r in data])
+    rows = {r["place"]: r for r in found.collect()}
+    assert sorted(rows) == list(range(-1, 6))
+    for place, gradient in [(-1, error.mean()), *enumerate(x.T @ error / len(data))]:
+        assert rows[place]["gradient"] == pytest.approx(gradient, abs=1e-9)
+        assert rows[place]["weight"] == pytest.approx(free if place < 0 else beta[place])
+    assert max(r["residual"] for r in rows.values()) < 1e-4
+
+
 def test_l1_without_rows(spark, sparse):
     fit = fit_l1_places(sparse.limit(0).selectExpr("instance_id AS row", "is_trade AS label"), cells_of(sparse, "instance_id", "a").limit(0), 0.1)
     assert fit.weights.count() == 0 and fit.intercept == 0.0
