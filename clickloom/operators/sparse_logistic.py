@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.operators.sizing import shuffled_join
 from clickloom.sources.stage import stage
 
 
@@ -53,13 +54,14 @@ def residuals(rows: DataFrame, cells: DataFrame, weights: DataFrame, intercept:
     """(row, label, p): the fitted probability of every row; rows without cells have the intercept's."""
     margins = cells.join(weights.select(F.col("place").alias("_p"), "weight"), F.expr("place = _p")).groupBy("row").agg(
         F.sum(F.col("value") * F.col("weight")).alias("margin"))
-    joined = rows.select("row", "label").join(margins.withColumnRenamed("row", "_r"), F.expr("row = _r"), "left")
+    joined = rows.select("row", "label").join(shuffled_join(margins.withColumnRenamed("row", "_r")), F.expr("row = _r"), "left")
     return joined.select("row", "label", _probability(F.coalesce("margin", F.lit(0.0)) + F.lit(intercept)).alias("p"))
 
 
 def gradients(cells: DataFrame, fitted: DataFrame, n: int) -> DataFrame:
     """(place, gradient) of the mean log loss, one partial sum per place and task."""
-    return cells.join(fitted.select(F.col("row").alias("_r"), (F.col("p") - F.col("label")).alias("_e")), F.expr("row = _r")).groupBy("place").agg(
+    errors = fitted.select(F.col("row").alias("_r"), (F.col("p") - F.col("label")).alias("_e"))
+    return cells.join(shuffled_join(errors), F.expr("row = _r")).groupBy("place").agg(
         (F.sum(F.col("value") * F.col("_e")) / n).alias("gradient"))
 
 

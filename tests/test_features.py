@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators.features import Conversion, Family, JoinPolicy, Measure, family_table
-from clickloom.operators.position import drop_latest, repeated_groups
+from clickloom.operators.position import drop_latest, position_table, reclick_table, repeated_groups
 from clickloom.plans import specs
 from clickloom.plans.slices import TimeSlice, history_rows, label_rows, month_slices
 from clickloom.sources import stage
@@ -101,6 +101,16 @@ def test_hot_key_is_split_and_exact(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_tables_as_long_as_the_log_do_not_pass_through_the_driver(spark):
+    """Only lookups within the budget are broadcast, however small the files of the others."""
+    rows = stage(frame(spark, *((i % 5, i % 3, i % 7, i % 2) for i in range(40))).withColumns({
+        "context_timestamp": F.col("instance_id"), "shop_id": F.lit(1), "last_category_id": F.lit(2)}))
+    policy = JoinPolicy(broadcast_bytes=0, rollup_ratio=0.0)
+    for joined in (family_table(rows, rows, FAMILY, policy=policy), position_table(rows), reclick_table(rows)):
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan and joined.count() == 40
+
+
 def test_slices_never_see_their_label_day(spark):
     days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(31)]
     log = spark.createDataFrame([(d,) for d in days], "event_date date")

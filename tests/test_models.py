@@ -89,6 +89,13 @@ def test_joint_one_hot_sees_both_frames(spark):
         (1, 0, 0, 0, 1, 0, 0), (0, 1, 0, 0, 0, 0, 1), (0, 0, 1, 0, 0, 1, 0)}
 
 
+def test_one_hot_vectors_do_not_pass_through_the_driver(spark):
+    """They are as many as the rows, however small their files."""
+    (coded,), _ = joint_one_hot(spark.range(0, 500).select((F.col("id") % 7).alias("u"), F.lit("x").alias("s")), columns=["u", "s"])
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan and coded.count() == 500
+
+
 def test_leaf_logistic_learns(planted):
     rows = planted.withColumn("group", F.col("noise") % 3)
     got = leaf_logistic(rows, rows, ["x"], ["group"], with_rounds(LEAF_TREES, 2), max_iter=30)
