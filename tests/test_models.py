@@ -9,8 +9,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
+from catalog import models as catalog_models
 from clickloom.operators import models
-from clickloom.operators.indexing import hash_folds
+from clickloom.operators.indexing import hash_folds, holdout
 from clickloom.operators.models import (
     FIRST_LIBRARY, LEAF_TREES, SECOND_LIBRARY, feature_columns, fit_boosted, fit_leaf_embedding, fit_with_validation,
     importances, joint_one_hot, one_hot_leaves, score, text_score, text_shares, top_features, with_rounds,
@@ -19,7 +20,7 @@ from clickloom.operators.prior import count_histograms, fit_beta_prior, fit_beta
 from clickloom.operators.scores import log_loss
 from clickloom.operators.text import fit_tfidf, tfidf_table, tokens_of
 from clickloom.plans.search import Tuner, param_grid, sample_trials, trial_budget
-from clickloom.plans.stacking import cross_fed_stack, leaf_logistic, out_of_fold
+from clickloom.plans.stacking import cross_fed_stack, holdout_loss, holdout_scores, leaf_logistic, out_of_fold
 
 QUICK = with_rounds(FIRST_LIBRARY, 3)
 
@@ -109,6 +110,23 @@ def test_text_score_follows_the_words(planted):
     assert means[1] > means[0] and got.count() == 600
 
 
+def test_holdout_loss_is_the_loss_of_the_rows_held_out(spark, planted, monkeypatch):
+    """The query returns what follows from the loss of both parts, and the plan the loss itself."""
+    def loss(rows):
+        return float(np.mean([-math.log(r["predicted_score"] if r["is_trade"] else 1 - r["predicted_score"]) for r in rows]))
+
+    noisy = planted.withColumn("is_trade", F.expr("if(instance_id % 7 = 0, 1 - is_trade, is_trade)"))
+    scored = {p: [r for r in holdout_scores(noisy, ["x"], QUICK).collect() if r["part"] == p] for p in ("rest", "held")}
+    assert sorted(len(v) for v in scored.values()) == sorted([holdout(noisy)[0].count(), holdout(noisy)[1].count()])
+    assert math.isclose(holdout_loss(noisy, ["x"], QUICK).first()["log_loss"], loss(scored["held"]), rel_tol=1e-9)
+    monkeypatch.setattr(catalog_models, "model_frame", lambda spark, sf: (noisy, noisy, ["x"]))
+    monkeypatch.setattr(catalog_models, "holdout_scores", lambda train, features: holdout_scores(train, features, QUICK))
+    found = {r["part"]: r for r in catalog_models.m7(spark, "").collect()}
+    assert {p: r["n_losses"] for p, r in found.items()} == {p: len(v) for p, v in scored.items()}
+    assert all(r["loss_fits"] for r in found.values()) and found["held"]["base_loss"] is None
+    assert math.isclose(found["rest"]["base_loss"], max(loss(scored["rest"]), baseline(holdout(noisy)[0])), abs_tol=1e-6)
+
+
 def tfidf_by_hand(texts):
     import re
 
