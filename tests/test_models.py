@@ -21,6 +21,7 @@ from clickloom.operators.scores import log_loss
 from clickloom.operators.text import fit_tfidf, tfidf_table, tokens_of
 from clickloom.plans.search import Tuner, param_grid, sample_trials, trial_budget
 from clickloom.plans.stacking import cross_fed_stack, holdout_loss, holdout_scores, leaf_logistic, out_of_fold
+from clickloom.sources.stage import stage
 
 QUICK = with_rounds(FIRST_LIBRARY, 3)
 
@@ -281,6 +282,17 @@ def test_fits_use_all_cores(spark, planted, monkeypatch):
     assert [df.columns for df in seen] == [["x", "noise", "is_trade"], ["x", "is_trade"]]
 
 
+def test_regression_passes_over_few_rows_in_few_tasks(spark, monkeypatch):
+    """Thousands of passes follow; no row is lost, and many rows keep all cores."""
+    seen, plain = [], models.packed
+    rows = VectorAssembler(inputCols=["x"], outputCol="v").transform(spark.range(0, 300, 1, 3).selectExpr("id % 3 AS x", "cast(id % 2 AS int) AS is_trade"))
+    rows = stage(rows)
+    for rows_a_task, tasks in ((1 << 16, 1), (100, 3), (1, max(spark.sparkContext.defaultParallelism, len(rows.inputFiles())))):
+        monkeypatch.setattr(models, "packed", lambda df: seen.append(plain(df, rows_a_task)) or seen[-1])
+        models.fit_l1_logistic(rows, ["v"], max_iter=2)
+        assert seen[-1].rdd.getNumPartitions() == tasks and seen[-1].count() == 300
+
+
 def test_tfidf_moves_texts_once_and_no_single_terms(spark):
     """Ids that repeat or are null count as one document each; after the lists are stored no shuffle carries terms."""
     rows = [(1, "red ring"), (1, "ring ring"), (None, "red"), (None, "bowl bowl"), (2, None), (3, "")]
